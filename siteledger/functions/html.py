@@ -12,6 +12,8 @@ from html.entities import name2codepoint
 
 from pyspark.sql import Column, functions as F
 
+from siteledger.functions.urls import let
+
 _ATTRIBUTES = r"""((?:[^>"']++|"[^"]*+"|'[^']*+')*+)"""
 _VALUE = r"""("[^"]*+"|'[^']*+'|[^\s"'>]++)"""
 _HIDDEN = (
@@ -38,31 +40,33 @@ def elements(html: Column, name: str) -> Column:
     )
 
 
-def _attribute_pattern(name: str) -> str:
+def _up_to(name: str) -> str:
+    """Pattern of the attributes before ``name``, consumed one by one, so that text inside
+    another attribute's quotes is never taken for an attribute."""
     return (
-        rf"""(?i)^(?:[\s/]*+(?!{name}\s*+=)[^\s=>"'/]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+)*+"""
-        rf"""[\s/]*+{name}\s*+=\s*+{_VALUE}"""
+        rf"""(?i)^(?:[\s/]*+(?!{name}(?:[\s=/]|$))[^\s=>"'/]++"""
+        r"""(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+)*+[\s/]*+"""
+        rf"{name}"
     )
 
 
 def attribute(attrs: Column, name: str) -> Column:
-    """Raw value of the first attribute ``name``; NULL when the tag has none.
-
-    The pattern consumes the attributes before it one by one, so text inside another
-    attribute's quotes is never taken for an attribute.
-    """
-    raw = F.nullif(F.regexp_extract(attrs, _attribute_pattern(name), 1), F.lit(""))
-    return F.when(
-        raw.startswith('"') | raw.startswith("'"),
-        F.regexp_replace(raw, """^["']|["']$""", ""),
-    ).otherwise(raw)
+    """Raw value of the first attribute ``name``; NULL when the tag has none with a value."""
+    return let(
+        F.regexp_extract(attrs, rf"{_up_to(name)}\s*+=\s*+{_VALUE}", 1),
+        lambda raw: F.when(raw != "", F.regexp_replace(raw, """^["']|["']$""", "")),
+    )
 
 
 def has_attribute(attrs: Column, name: str) -> Column:
     """The tag names the attribute, with or without a value."""
-    return attrs.rlike(
-        rf"""(?i)^(?:[\s/]*+(?!{name}(?:[\s=/]|$))[^\s=>"'/]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+)*+"""
-        rf"""[\s/]*+{name}(?:[\s=/]|$)"""
+    return attrs.rlike(rf"{_up_to(name)}(?:[\s=/]|$)")
+
+
+def has_text(attrs: Column, name: str) -> Column:
+    """The tag has the attribute with a value that is not blank."""
+    return F.coalesce(
+        attrs.rlike(rf"""{_up_to(name)}\s*+=\s*+(?:"\s*+[^"]|'\s*+[^']|[^\s"'>])"""), F.lit(False)
     )
 
 
@@ -78,6 +82,9 @@ def _named_references() -> str:
     return json.dumps(table)
 
 
+_REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
+
 def _code_point(digits: Column) -> Column:
     """Character of an eight-digit hexadecimal code point; U+FFFD outside the valid ranges."""
     valid = digits.rlike("^0000(?!0000|[dD][89a-fA-F])|^000[1-9a-fA-F]|^0010")
@@ -88,23 +95,31 @@ def decode_entities(c: Column) -> Column:
     """Replace ``&amp;``, ``&#38;`` and ``&#x26;`` forms; other ampersands stay as they are."""
     names = F.from_json(F.lit(_named_references()), "map<string,string>")
 
-    def piece(p: Column) -> Column:
-        ref = F.regexp_extract(p, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
-        rest = F.regexp_replace(p, r"(?s)^[^;]*;", "")
+    def replaced(p: Column, ref: Column) -> Column:
         digits = F.when(ref.rlike("^#[xX]"), F.substring(ref, 3, 6)).otherwise(
             F.hex(F.substring(ref, 2, 7).try_cast("bigint"))
         )
-        named = F.element_at(names, ref)
-        return (
-            F.when(ref == "", F.concat(F.lit("&"), p))
-            .when(ref.startswith("#"), F.concat(_code_point(F.lpad(digits, 8, "0")), rest))
-            .when(named.isNotNull(), F.concat(named, rest))
-            .otherwise(F.concat(F.lit("&"), p))
+        char = F.when(
+            ref.startswith("#"), let(F.lpad(digits, 8, "0"), _code_point)
+        ).otherwise(F.element_at(names, ref))
+        return F.coalesce(
+            F.concat(char, F.substr(p, F.length(ref) + 2)),
+            F.concat(F.lit("&"), p),
         )
 
-    parts = F.split(c, "&", -1)
-    decoded = F.concat(
-        F.element_at(parts, 1),
-        F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), piece), ""),
-    )
-    return F.when(c.contains("&"), decoded).otherwise(c)
+    def piece(p: Column) -> Column:
+        ref = F.regexp_extract(p, _REFERENCE, 1)
+        return F.when(p.rlike(_REFERENCE), let(ref, lambda r: replaced(p, r))).otherwise(
+            F.concat(F.lit("&"), p)
+        )
+
+    def decoded(text: Column) -> Column:
+        return let(
+            F.split(text, "&", -1),
+            lambda parts: F.concat(
+                F.element_at(parts, 1),
+                F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), piece), ""),
+            ),
+        )
+
+    return let(c, lambda text: F.when(text.contains("&"), decoded(text)).otherwise(text))

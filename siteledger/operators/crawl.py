@@ -85,7 +85,7 @@ def crawl(
                     ),
                 )
             ).alias("links"),
-        ).filter(F.size("links") > 0),
+        ),
         f"{root}/graph",
     )
     frontier = materialize(

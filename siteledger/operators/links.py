@@ -17,6 +17,7 @@ from siteledger.functions.urls import (
     resolve_against,
     site_parts,
 )
+from siteledger.operators.explode import explode_kept
 
 # Parts of a URL that mark it as no page of the site.
 UNWANTED = ("mailto", "tel:", "javascript", "youtube.com", "twitter.com")
@@ -132,9 +133,7 @@ def extract_links(
         F.array_distinct(F.transform("links", lambda link: link["url"])),
         lambda u: F.contains(u, F.col("_site")),
     )
-    return found.select(
-        *keep, F.col("_url").alias("page_url"), F.explode(in_site).alias("url")
-    )
+    return explode_kept(found, [*keep, F.col("_url").alias("page_url")], in_site, "url")
 
 
 def unseen_links(links: DataFrame, seen: DataFrame, on: str | Sequence[str] = "url") -> DataFrame:

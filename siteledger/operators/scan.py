@@ -18,12 +18,14 @@ from siteledger.functions.html import (
     decode_entities,
     elements,
     has_attribute,
+    has_text,
     start_tags,
     text_of,
     visible_markup,
 )
 from siteledger.functions.text import strip
 from siteledger.functions.urls import let
+from siteledger.operators.explode import explode_kept
 
 ERROR, WARNING = "error", "warning"
 
@@ -47,10 +49,6 @@ class Rule:
     type: str = ERROR
 
 
-def _blank(c: Column) -> Column:
-    return strip(F.coalesce(c, F.lit(""))) == ""
-
-
 def _tag(name: str, attrs: Column) -> Column:
     return F.concat(F.lit(f"<{name}"), attrs, F.lit(">"))
 
@@ -70,7 +68,7 @@ def _no_lang(doc: Column) -> Column:
     return let(
         first,
         lambda attrs: _one_if(
-            _blank(attribute(attrs, "lang")) & _blank(attribute(attrs, "xml:lang")),
+            ~has_text(attrs, "lang") & ~has_text(attrs, "xml:lang"),
             _tag("html", attrs),
         ),
     )
@@ -104,15 +102,15 @@ def _attrs_of(element: Column) -> Column:
 
 def _empty_links(doc: Column) -> Column:
     def silent(link: Column) -> Column:
-        alts = F.filter(start_tags(link, "img"), lambda img: ~_blank(attribute(img, "alt")))
+        alts = F.filter(start_tags(link, "img"), lambda img: ~~has_text(img, "alt"))
         return (
             (strip(decode_entities(text_of(link))) == "")
             & let(
                 _attrs_of(link),
                 lambda attrs: has_attribute(attrs, "href")
-                & _blank(attribute(attrs, "aria-label"))
-                & _blank(attribute(attrs, "aria-labelledby"))
-                & _blank(attribute(attrs, "title")),
+                & ~has_text(attrs, "aria-label")
+                & ~has_text(attrs, "aria-labelledby")
+                & ~has_text(attrs, "title"),
             )
             & (F.size(alts) == 0)
         )
@@ -134,9 +132,9 @@ def _unlabelled_fields(doc: Column) -> Column:
     def find(p: Column) -> Column:
         def unnamed(attrs: Column) -> Column:
             return (
-                _blank(attribute(attrs, "aria-label"))
-                & _blank(attribute(attrs, "aria-labelledby"))
-                & _blank(attribute(attrs, "title"))
+                ~has_text(attrs, "aria-label")
+                & ~has_text(attrs, "aria-labelledby")
+                & ~has_text(attrs, "title")
                 & ~F.coalesce(
                     F.array_contains(p["targets"], attribute(attrs, "id")), F.lit(False)
                 )
@@ -227,7 +225,7 @@ RULES: tuple[Rule, ...] = (
          "The link has an address but no text.", "a", _empty_links, ("a",)),
     Rule("WCAG2A.Principle2.Guideline2_4.2_4_1.H64.1",
          "The iframe element should have a title that says what it holds.", "iframe",
-         _tags_where("iframe", lambda a: _blank(attribute(a, "title"))), ("iframe",)),
+         _tags_where("iframe", lambda a: ~has_text(a, "title")), ("iframe",)),
     Rule("WCAG2A.Principle1.Guideline1_3.1_3_1.H44",
          "The form field has no label.", "input", _unlabelled_fields,
          ("input", "select", "textarea")),
@@ -301,7 +299,7 @@ def scan_pages(
 def explode_issues(scanned: DataFrame) -> DataFrame:
     """Long form: one row per issue."""
     rest = [c for c in scanned.columns if c not in ("issues", "document_title")]
-    return scanned.select(*rest, F.explode("issues").alias("_issue")).select(*rest, "_issue.*")
+    return explode_kept(scanned, rest, F.col("issues"), "_issue").select(*rest, "_issue.*")
 
 
 def scan_records(
@@ -315,7 +313,8 @@ def scan_records(
 
     F17: sites without a result leave no record; ``failures`` returns those sites instead.
     """
-    results = scanned.filter("issues IS NOT NULL").select(
+    # The title is NULL exactly when the page has no source, and far cheaper to test.
+    results = scanned.filter("document_title IS NOT NULL").select(
         F.col(f"`{url}`").alias("routeable_url"), "document_title", "issues"
     )
     if failures:

@@ -237,49 +237,48 @@ def crawl_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "crawl_tree",
     """WITH RECURSIVE p AS (
-  SELECT page_id, regexp_replace(url, '[?#].*$', '') AS url,
-         regexp_extract(url, '(example\\.[a-z]+)', 1) AS site FROM pages),
-seeds AS (SELECT arg_min(url, page_id) AS seed_url, min(page_id) AS root, site
-          FROM p GROUP BY site),
+  SELECT page_id, 'https://' || regexp_extract(url, '^https?://([^/?#]*)', 1) || '.site.gov/p'
+    || page_id AS url, regexp_extract(url, 'example\\.([a-z]+)', 1) AS tld FROM pages),
+seeds AS (SELECT min(page_id) AS root FROM p GROUP BY tld),
 walk AS (
-  SELECT s.seed_url, s.site, s.root, s.root AS page_id, 0 AS depth FROM seeds s
+  SELECT root, root AS page_id, 0 AS depth FROM seeds
   UNION ALL
-  SELECT w.seed_url, w.site, w.root, c.page_id, w.depth + 1
-  FROM walk w JOIN p c ON c.page_id IN (2 * w.page_id + 1, 2 * w.page_id + 2)
-  WHERE c.site = w.site AND c.page_id <> w.root),
-found AS (SELECT w.seed_url, p.url, w.depth FROM walk w JOIN p USING (page_id) WHERE depth > 0
+  SELECT w.root, c.page_id, w.depth + 1
+  FROM walk w JOIN p c ON c.page_id IN (2 * w.page_id + 1, 2 * w.page_id + 2)),
+found AS (
+  SELECT root, page_id, depth FROM walk WHERE depth > 0
   UNION ALL
-  SELECT w.seed_url, w.seed_url, min(w.depth) + 1 FROM walk w WHERE w.depth > 0 GROUP BY 1)
-SELECT seed_url, url, min(depth) AS depth FROM found GROUP BY 1, 2""",
+  SELECT s.root, w.page_id, w.depth + 1 FROM seeds s JOIN walk w ON w.root = 0)
+SELECT s.url AS seed_url, p.url, CAST(min(depth) AS INTEGER) AS depth
+FROM found JOIN p USING (page_id) JOIN p s ON s.page_id = found.root GROUP BY 1, 2""",
 )
 def crawl_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Crawl to the end over pages that link to two others and back to their parent: deep,
-    with cycles. Page n links to the pages 2n+1 and 2n+2; only those of its site are followed."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    parent = F.floor((F.col("page_id") - 1) / 2)
-    children = pages.filter("page_id > 0").groupBy(parent.alias("page_id")).agg(
-        F.array_sort(F.collect_list("url")).alias("down")  # two at most
-    )
-    up = pages.select(F.col("page_id").alias("parent_id"), F.col("url").alias("up"))
-    tree = (
-        pages.join(children, "page_id", "left")
-        .join(up, F.when(F.col("page_id") > 0, parent) == F.col("parent_id"), "left")
+    """Crawl to the end of one large site with cycles: page n links to the pages 2n+1 and
+    2n+2 and back to page 0, so that every seed reaches every page (I1)."""
+    n = F.col("page_id")
+    pages = table(spark, sf_dir, "pages").select(
+        n,
+        F.concat(
+            F.lit("https://"), url_fn.host_of(F.col("url")), F.lit(".site.gov/p"), n
+        ).alias("address"),
+        F.regexp_extract("url", r"example\.([a-z]+)", 1).alias("tld"),
     )
-    hrefs = F.concat(F.coalesce("down", F.array().cast("array<string>")), F.array_compact(F.array("up")))
-    marked = tree.select(
-        "url",
-        F.array_join(
-            F.transform(hrefs, lambda h: F.concat(F.lit('<p><a class="n" href="'), h, F.lit('">x</a>'))),
-            "",
-        ).alias("html"),
+    # Each page says which page links to it; two at most share a parent.
+    links_down = pages.filter("page_id > 0").groupBy(
+        F.floor((n - 1) / 2).cast("bigint").alias("page_id")
+    ).agg(F.array_sort(F.collect_list("address")).alias("down"))
+    root = F.lit(pages.filter("page_id = 0").select("address").first()[0])
+    anchors = F.transform(
+        F.array_append(F.coalesce("down", F.array().cast("array<string>")), root),
+        lambda h: F.concat(F.lit('<p><a class="n" href="'), h, F.lit('#x">x</a>')),
     )
-    site = F.regexp_extract("url", r"(example\.[a-z]+)", 1)
-    seeds = (
-        pages.groupBy(site.alias("site"))
-        .agg(F.min_by(url_fn.clean_url(F.col("url")), "page_id").alias("seed_url"))
+    marked = pages.join(links_down, "page_id", "left").select(
+        "address", F.array_join(anchors, "").alias("html")
     )
+    seeds = pages.groupBy("tld").agg(F.min_by("address", "page_id").alias("seed_url"))
     return crawl_op.crawl(
-        marked, seeds, netloc=F.col("site"), allowed_host=F.col("site")
+        marked, seeds, url="address",
+        netloc=F.lit(".site.gov"), allowed_host=F.lit("site.gov"),
     )
 
 
@@ -827,11 +826,7 @@ WHERE CAST(ts AS DATE) >= (SELECT max(CAST(ts AS DATE)) FROM events) - 10""",
 def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events not older than ten days at the last one."""
     rows = table(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("day"))
-    last = rows.agg(F.max("day").alias("as_of"))
-    # One row on the right: the date as of which records are kept.
-    return records.retain(
-        rows.join(F.broadcast(last), F.col("day") <= F.col("as_of")), "day", F.col("as_of")
-    ).drop("as_of")
+    return records.retain(rows, "day", F.lit(rows.agg(F.max("day")).first()[0]))
 
 
 @query(
@@ -1077,8 +1072,9 @@ def rule_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "scan_records",
     """WITH p AS (SELECT page_id, url, regexp_extract(url, '^https?://([^/?#]*)', 1) AS host,
-    trim(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'),
-      '&gt;', '>'), '&amp;', '&')) AS title FROM pages)
+    trim(replace(replace(replace(replace(replace(
+      regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'),
+      '&quot;', '"'), '&#x27;', ''''), '&amp;', '&')) AS title FROM pages)
 SELECT host AS agency, 'pages' AS organization, string_split(host, '.')[-3] AS domain,
   array_to_string(string_split(host, '.')[:-4], '.') AS subdomain, 0 AS number_of_errors,
   url AS routeable_url, title AS document_title, DATE '2024-02-01' AS scan_date
