@@ -137,9 +137,13 @@ def extract_links(
 
 
 def unseen_links(links: DataFrame, seen: DataFrame, on: str | Sequence[str] = "url") -> DataFrame:
-    """Links that are not in the seen set."""
+    """Links that are not in the seen set.
+
+    The seen set is made distinct first, which is combined before its shuffle: a link seen
+    very often arrives once. A hot link on the left side is split by adaptive execution.
+    """
     names = [on] if isinstance(on, str) else list(on)
-    return links.join(seen.select(*names), names, "left_anti")
+    return links.join(seen.select(*names).distinct(), names, "left_anti")
 
 
 def link_messages(

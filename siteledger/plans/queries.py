@@ -111,23 +111,17 @@ SELECT site, count(DISTINCT page_url) AS n_pages, count(*) AS n_links,
 FROM links GROUP BY site""",
 )
 def site_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship: in-site links per host."""
-    found = links.extract_links(table(spark, sf_dir, "pages"), keep=["page_id"])
-    # Two levels: first per (host, url), so that no task sees all links of a hot host.
-    per_page = found.groupBy("page_id", "page_url").agg(F.count("*").alias("n"))
-    pages_of = (
-        per_page.groupBy(url_fn.netloc(F.col("page_url")).alias("site"), "page_url")
-        .agg(F.sum("n").alias("n"))
-        .groupBy("site")
-        .agg(F.count("*").alias("n_pages"), F.sum("n").alias("n_links"))
+    """Flagship: in-site links per host.
+
+    One pass over the page source. Distinct counts are taken per (host, value) first, so no
+    task ever sees all links of a hot host.
+    """
+    found = links.extract_links(table(spark, sf_dir, "pages"))
+    return found.groupBy(url_fn.netloc(F.col("page_url")).alias("site")).agg(
+        F.count_distinct("page_url").alias("n_pages"),
+        F.count("*").alias("n_links"),
+        F.count_distinct("url").alias("n_urls"),
     )
-    urls_of = (
-        found.select(url_fn.netloc(F.col("page_url")).alias("site"), "url")
-        .distinct()
-        .groupBy("site")
-        .agg(F.count("*").alias("n_urls"))
-    )
-    return pages_of.join(urls_of, "site").select("site", "n_pages", "n_links", "n_urls")
 
 
 @query("links", f"WITH {_LINKS_SQL} SELECT page_id, page_url, url FROM links")
@@ -1204,12 +1198,9 @@ def _run_intake(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     stream = stream_events.stream_events(
         spark, source, _STREAM_SCHEMA, one_per_file=False
     )
-
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        good = stream_events.route_bad_messages(batch, dead, batch_id)
-        state.upsert_latest(good, target, batch_id, ["agency", "domain"], "seq")
-
-    state.run_available(stream, scratch_path(spark, "checkpoint"), on_batch)
+    state.consume(
+        stream, target, dead, scratch_path(spark, "checkpoint"), ["agency", "domain"], "seq"
+    )
     return target, dead
 
 
@@ -1260,3 +1251,34 @@ def stream_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         count=F.col("seq") % 2,
     )
     return history_io.read_history(spark, path)
+
+
+@query(
+    "stream_scan",
+    """WITH p AS (SELECT page_id, url, regexp_extract(url, '^https?://([^/?#]*)', 1) AS host
+  FROM pages),
+last AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY host ORDER BY url DESC) = 1)
+SELECT host AS domain, url AS routeable_url, 0 AS number_of_errors,
+  DATE '2024-02-01' AS scan_date FROM last""",
+)
+def stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One message per page streamed in, its page scanned, the last record per site kept
+    (entry 2 as a stream: T1, T2, A1, A2, T3)."""
+    pages = table(spark, sf_dir, "pages")
+    host = url_fn.host_of(F.col("url"))
+    body = F.to_json(F.struct(
+        F.lit("a").alias("Agency"), F.lit("o").alias("Organization"), host.alias("domain"),
+        F.lit("").alias("subdomain"), F.col("url").alias("routeable_url"),
+    ))
+    source, target = scratch_path(spark, "arrivals"), scratch_path(spark, "state")
+    record = F.struct(F.col("page_id").cast("string").alias("messageId"), body.alias("body"))
+    pages.select(F.to_json(F.struct(F.array(record).alias("Records")))).write.text(source)
+    state.consume(
+        stream_events.stream_events(spark, source, one_per_file=False),
+        target, scratch_path(spark, "dead"), scratch_path(spark, "checkpoint"),
+        ts="routeable_url",
+        to_records=lambda sites: results.scan_sites(sites, pages, F.lit("2024-02-01")),
+    )
+    return state.read_latest(spark, target, schemas.SCAN_RECORD, ts="routeable_url").select(
+        "domain", "routeable_url", "number_of_errors", "scan_date"
+    )

@@ -38,15 +38,14 @@ def read_record_files(
 
 
 def write_records(records: DataFrame, path: str, format: str = "parquet") -> None:
-    """Typed records as a table partitioned by scan date, agency and organization.
+    """All typed records as one table, partitioned by scan date for retention.
 
-    The rebalance lets adaptive execution give a large owner several writers and put small
-    owners together, so that neither huge nor tiny files arise.
+    The rebalance lets adaptive execution give a large date several writers and put small
+    ones together, so that neither huge nor tiny files arise.
     """
-    placed = records.hint("rebalance", "scan_date", "agency", "organization")
-    placed.write.mode("overwrite").partitionBy("scan_date", "agency", "organization").format(
-        format
-    ).save(path)
+    records.hint("rebalance", "scan_date").write.mode("overwrite").partitionBy(
+        "scan_date"
+    ).format(format).save(path)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
@@ -55,9 +54,10 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_record_files(records: DataFrame, path: str) -> None:
-    """Export in the stored form, one JSON record per line, in folders by owner.
+    """The stored form, one JSON record per line, in folders by owner.
 
-    The folders repeat the first two parts of each record's ``key``.
+    The folders are the first two parts of each record's ``key``; the rebalance keeps an
+    owner's records together and still gives a large owner several files.
     """
     files = to_files(records).withColumns(
         {"owner_agency": F.col("agency"), "owner_organization": F.col("organization")}

@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
 
 from siteledger.operators.dedupe import latest_per_key
 from siteledger.operators.records import (
@@ -15,6 +16,7 @@ from siteledger.operators.records import (
     retain,
 )
 from siteledger.sources.history import append_history
+from siteledger.streaming.events import route_bad_messages
 
 
 def upsert_latest(
@@ -89,6 +91,33 @@ def run_available(
     return query
 
 
+def consume(
+    stream: DataFrame,
+    table_path: str,
+    dead_letter_path: str,
+    checkpoint: str,
+    keys: Sequence[str] = RECORD_KEYS,
+    ts: str | Sequence[str] = "scan_ts",
+    date: str = "scan_date",
+    to_records: Callable[[DataFrame], DataFrame] | None = None,
+) -> StreamingQuery:
+    """Take in every message that has arrived, once.
+
+    Poison messages go to the dead letters, the others, turned to records by
+    ``to_records``, to the table of the last record per key. A micro-batch is kept while it
+    is used twice, so that its files are read and parsed one time.
+    """
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        good = route_bad_messages(kept, dead_letter_path, batch_id)
+        rows = good if to_records is None else to_records(good)
+        upsert_latest(rows, table_path, batch_id, keys, ts, date)
+        kept.unpersist()
+
+    return run_available(stream, checkpoint, on_batch)
+
+
 def snapshot(
     spark: SparkSession,
     table_path: str,
