@@ -27,7 +27,7 @@ def append_history(share: DataFrame, as_of: Column, path: str, upsert: bool = Fa
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     """The history table; empty when nothing was ever added."""
     try:
-        return spark.read.schema(schemas.HISTORY).parquet(path)
+        return spark.read.schema(schemas.HISTORY).parquet(path).select(*schemas.HISTORY.names)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

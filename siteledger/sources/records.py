@@ -50,7 +50,8 @@ def write_records(records: DataFrame, path: str, format: str = "parquet") -> Non
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """The consolidated table; filters on its partition columns prune folders."""
-    return spark.read.schema(schemas.SCAN_RECORD).parquet(path)
+    table = spark.read.schema(schemas.SCAN_RECORD).parquet(path)
+    return table.select(*schemas.SCAN_RECORD.names)
 
 
 def write_record_files(records: DataFrame, path: str) -> None:
