@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from siteledger import schemas
 from siteledger.functions.text import clean_host_text
 from siteledger.functions.urls import host_of
+from siteledger.operators.explode import with_fields
 
 #: Suffix tables up to this many rows are matched inside a column expression, without any
 #: shuffle; the published list has about 10,000 rows. Larger tables are joined.
@@ -105,16 +106,26 @@ def split_host(
     else:
         matched = _match_by_join(hosts, suffixes)
 
-    host, n = F.col("_host"), F.coalesce(F.col("_n"), F.lit(0))
+    host = F.col("_host")
     address = host.rlike(_IPV4) | host.startswith("[")
-    tld = F.when(address | (n == 0), F.lit("")).otherwise(F.expr("substring_index(_host, '.', -_n)"))
-    parts = matched.withColumn("_tld", F.when(host.isNotNull(), tld))
-    front = F.expr("left(_host, length(_host) - length(_tld) - IF(_tld = '', 0, 1))")
-    domain = F.when(F.col("_address"), host).otherwise(F.substring_index("_front", ".", -1))
-    subdomain = F.expr("left(_front, length(_front) - length(_domain) - 1)")
+    parts = matched.withColumn(
+        "_tld",
+        F.when(address | F.coalesce(F.col("_n"), F.lit(0)).eqNullSafe(0), F.lit("")).otherwise(
+            F.expr("substring_index(_host, '.', -_n)")
+        ),
+    ).withColumn(
+        "_front", F.expr("left(_host, length(_host) - length(_tld) - IF(_tld = '', 0, 1))")
+    )
+    domain = F.when(address, host).otherwise(F.substring_index("_front", ".", -1))
+    subdomain = F.expr("left(_front, greatest(length(_front) - length(_last) - 1, 0))")
     return (
-        parts.withColumns({"_front": front, "_address": address})
-        .withColumn("_domain", domain)
-        .withColumns({names[0]: subdomain, names[1]: F.col("_domain"), names[2]: F.col("_tld")})
-        .drop("_host", "_n", "_tld", "_front", "_address", "_domain")
+        with_fields(
+            parts.withColumn("_last", domain),
+            {
+                names[0]: subdomain,
+                names[1]: F.col("_last"),
+                names[2]: F.when(host.isNotNull(), F.col("_tld")),
+            },
+        )
+        .drop("_host", "_n", "_tld", "_front", "_last")
     )

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from siteledger.functions.urls import CANDIDATE_PREFIXES, strip_scheme
-from siteledger.operators.dedupe import latest_per_key
+from siteledger.operators.dedupe import keep_first, latest_per_key
 
 TIMEOUT = "timeout"
 
@@ -22,15 +24,17 @@ def resolve_routes(
     probe_log: DataFrame,
     site: str,
     probed_at: str | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``(site, routeable_url)`` for every site that some probe decided.
+    """``(site, *keep, routeable_url)`` for every site that some probe decided.
 
     A probe decides when it timed out or answered below 400. The best-ranked deciding
     address of a site wins: a timeout gives the text ``timeout``, status 200 the address the
     probe ended at, any other status NULL. Sites without a deciding probe are left out; a
     left join on the site shows them as NULL.
 
-    Of repeated probes of one address the latest by the column ``probed_at`` counts.
+    Of repeated probes of one address the latest by the column ``probed_at`` counts. ``keep``
+    carries columns of the candidates along, so that they need not be joined again.
     """
     timed_out = F.col("outcome") == TIMEOUT
     probes = latest_per_key(
@@ -41,13 +45,10 @@ def resolve_routes(
         [probed_at] if probed_at else [],
     ).filter(timed_out | (F.col("status") < 400))
     url = F.when(timed_out, F.lit(TIMEOUT)).when(F.col("status") == 200, F.col("final_url"))
-    return (
-        candidates.select(site, "rank", "candidate_url")
-        .join(probes, "candidate_url")
-        .groupBy(site)
-        .agg(F.min(F.struct(F.col("rank"), url.alias("routeable_url"))).alias("best"))
-        .select(site, "best.routeable_url")
-    )
+    decided = candidates.select(site, *keep, "rank", "candidate_url").join(probes, "candidate_url")
+    return keep_first(
+        decided.select(site, *keep, "rank", url.alias("routeable_url")), [site], ["rank"]
+    ).drop("rank")
 
 
 def attach_routes(df: DataFrame, resolved: DataFrame, site: str) -> DataFrame:

@@ -25,7 +25,7 @@ from siteledger.functions.html import (
 )
 from siteledger.functions.text import strip
 from siteledger.functions.urls import let
-from siteledger.operators.explode import explode_kept
+from siteledger.operators.explode import explode_kept, with_fields
 
 ERROR, WARNING = "error", "warning"
 
@@ -289,11 +289,13 @@ def scan_pages(
     ).withColumn("_low", F.lower("_doc"))
     doc, lowered = F.col("_doc"), F.col("_low")
     found = F.concat(*[_issues(r, doc, lowered) for r in active])
-    return read.select(
-        *[F.col(f"`{c}`") for c in keep],
-        document_title(doc).alias("document_title"),
-        F.when(doc.isNotNull(), found).alias("issues"),
-    )
+    return with_fields(
+        read,
+        {
+            "document_title": document_title(doc),
+            "issues": F.when(doc.isNotNull(), found),
+        },
+    ).drop("_doc", "_low")
 
 
 def explode_issues(scanned: DataFrame) -> DataFrame:
@@ -313,8 +315,7 @@ def scan_records(
 
     F17: sites without a result leave no record; ``failures`` returns those sites instead.
     """
-    # The title is NULL exactly when the page has no source, and far cheaper to test.
-    results = scanned.filter("document_title IS NOT NULL").select(
+    results = scanned.filter("issues IS NOT NULL").select(
         F.col(f"`{url}`").alias("routeable_url"), "document_title", "issues"
     )
     if failures:

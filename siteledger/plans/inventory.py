@@ -21,12 +21,7 @@ from siteledger.operators.filters import (
 )
 from siteledger.operators.hosts import split_host
 from siteledger.operators.rename import AgencyRule, rename_by_rules
-from siteledger.operators.routes import (
-    attach_routes,
-    reachable,
-    resolve_routes,
-    url_candidates,
-)
+from siteledger.operators.routes import reachable, resolve_routes, url_candidates
 from siteledger.plans.owner_rules import OWNER_RULES
 from siteledger.sources.lists import ORDER
 
@@ -93,10 +88,16 @@ def build_inventory(
         "Domain Type", "Agency", "Organization", *order, with_scheme(host).alias("schematized_url")
     )
     named = keep_first(named, ["schematized_url"], order)
-    candidates = url_candidates(named.select("schematized_url"), "schematized_url")
-    resolved = resolve_routes(candidates, probe_log, "schematized_url", probed_at)
-    routed = reachable(attach_routes(named, resolved, "schematized_url")).drop("schematized_url")
-    routed = keep_first(routed, ["routeable_url"], order)
+    # The rows travel with their candidates: looking the result up by address afterwards
+    # (J2) would compute everything before this line a second time.
+    resolved = resolve_routes(
+        url_candidates(named, "schematized_url"),
+        probe_log,
+        "schematized_url",
+        probed_at,
+        keep=["Domain Type", "Agency", "Organization", *order],
+    )
+    routed = keep_first(reachable(resolved).drop("schematized_url"), ["routeable_url"], order)
 
     parts = split_host(routed, "routeable_url", suffixes).withColumn(
         "subdomain", blank_bare_www(F.col("subdomain"))
