@@ -1,8 +1,10 @@
 """HTML expressions.
 
 Pages are read with regular expressions, not a browser: markup made by scripts is not seen.
-Loops over groups are possessive, which the regex engine runs without recursion, so that no
-page, however long or broken, can overflow the stack of a task.
+Two rules keep any page, however long or broken, from stopping a task. Loops over groups are
+possessive, which the regex engine runs without recursion and so without a deep stack. And a
+pattern that has found the start of a tag always matches, to the end of the page if the tag
+is never closed, so that no text is read twice.
 """
 
 from __future__ import annotations
@@ -14,7 +16,8 @@ from pyspark.sql import Column, functions as F
 
 from siteledger.functions.urls import let
 
-_ATTRIBUTES = r"""((?:[^>"']++|"[^"]*+"|'[^']*+')*+)"""
+# Text of a tag after its name, with the closing ">" if there is one.
+TAG_REST = r"""((?:[^>"']++|"[^"]*+"|'[^']*+')*+>?+)"""
 _VALUE = r"""("[^"]*+"|'[^']*+'|[^\s"'>]++)"""
 # One leading "<" for all three lets the engine skip quickly through plain text.
 _HIDDEN = (
@@ -29,15 +32,34 @@ def visible_markup(html: Column) -> Column:
     return F.regexp_replace(html, _HIDDEN, "")
 
 
+def _closed(tags: Column) -> Column:
+    return F.filter(tags, lambda tag: tag.endswith(">"))
+
+
 def start_tags(html: Column, name: str) -> Column:
-    """Attribute text of every start tag ``name``, in page order."""
-    return F.regexp_extract_all(html, F.lit(rf"(?i)<{name}(?=[\s/>]){_ATTRIBUTES}>"), F.lit(1))
+    """Every start tag ``name``, as its text after the name, in page order."""
+    return _closed(
+        F.regexp_extract_all(html, F.lit(rf"(?i)<{name}(?=[\s/>]){TAG_REST}"), F.lit(1))
+    )
+
+
+def all_start_tags(html: Column) -> Column:
+    """Every start tag of any name, as its text after the name."""
+    return _closed(
+        F.regexp_extract_all(html, F.lit(rf"<[A-Za-z][A-Za-z0-9:-]*+{TAG_REST}"), F.lit(1))
+    )
+
+
+def first_start_tag(html: Column, name: str) -> Column:
+    """Text after the name of the first start tag ``name``; '' without one."""
+    return F.regexp_extract(html, rf"(?i)<{name}(?=[\s/>]){TAG_REST}", 1)
 
 
 def elements(html: Column, name: str) -> Column:
-    """Every ``<name ...>...</name>`` element as text, for elements that do not nest."""
+    """Every ``<name ...>...</name>`` element as text, for elements that do not nest; the
+    last one may be left open to the end of the page."""
     return F.regexp_extract_all(
-        html, F.lit(rf"(?is)(<{name}(?=[\s/>]).*?</{name}\s*>)"), F.lit(1)
+        html, F.lit(rf"(?is)(<{name}(?=[\s/>]).*?(?:</{name}\s*>|\z))"), F.lit(1)
     )
 
 
@@ -45,8 +67,8 @@ def _up_to(name: str) -> str:
     """Pattern of the attributes before ``name``, consumed one by one, so that text inside
     another attribute's quotes is never taken for an attribute."""
     return (
-        rf"""(?i)^(?:[\s/]*+(?!{name}(?:[\s=/]|$))[^\s=>"'/]++"""
-        r"""(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+)*+[\s/]*+"""
+        rf"""(?i)^(?:[\s/]*+(?:(?!{name}(?:[\s=/>]|$))[^\s=>"'/]++"""
+        r"""(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+|["'=]))*+[\s/]*+"""
         rf"{name}"
     )
 
@@ -61,7 +83,7 @@ def attribute(attrs: Column, name: str) -> Column:
 
 def has_attribute(attrs: Column, name: str) -> Column:
     """The tag names the attribute, with or without a value."""
-    return attrs.rlike(rf"{_up_to(name)}(?:[\s=/]|$)")
+    return attrs.rlike(rf"{_up_to(name)}(?:[\s=/>]|$)")
 
 
 def has_text(attrs: Column, name: str) -> Column:
@@ -73,7 +95,7 @@ def has_text(attrs: Column, name: str) -> Column:
 
 def text_of(markup: Column) -> Column:
     """Text of a piece of markup without its tags."""
-    return F.regexp_replace(markup, "(?s)<[^>]*+>", "")
+    return F.regexp_replace(markup, "(?s)<[^>]*+>?+", "")
 
 
 def _named_references() -> str:

@@ -14,9 +14,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from siteledger import schemas
 from siteledger.functions.html import (
+    TAG_REST,
+    all_start_tags,
     attribute,
     decode_entities,
     elements,
+    first_start_tag,
     has_attribute,
     has_text,
     start_tags,
@@ -50,7 +53,7 @@ class Rule:
 
 
 def _tag(name: str, attrs: Column) -> Column:
-    return F.concat(F.lit(f"<{name}"), attrs, F.lit(">"))
+    return F.concat(F.lit(f"<{name}"), attrs)
 
 
 def _tags_where(name: str, test: Callable[[Column], Column]) -> Callable[[Column], Column]:
@@ -64,17 +67,16 @@ def _one_if(test: Column, context: Column) -> Column:
 
 
 def _no_lang(doc: Column) -> Column:
-    first = F.regexp_extract(doc, r"""(?i)<html(?=[\s/>])((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", 1)
     return let(
-        first,
+        first_start_tag(doc, "html"),
         lambda attrs: _one_if(
             ~has_text(attrs, "lang") & ~has_text(attrs, "xml:lang"),
-            _tag("html", attrs),
+            F.when(attrs == "", "<html>").otherwise(_tag("html", attrs)),
         ),
     )
 
 
-_TITLE = r"(?is)<title(?:\s[^>]*+)?>(.*?)</title\s*>"
+_TITLE = r"(?is)<title(?=[\s/>])[^>]*+>?+(.*?)(?:</title\s*>|\z)"
 
 
 def document_title(markup: Column) -> Column:
@@ -93,11 +95,11 @@ def _empty_title(doc: Column) -> Column:
 
 
 def _open_tag_of(element: Column) -> Column:
-    return F.regexp_extract(element, r"""^(<(?:[^>"']++|"[^"]*+"|'[^']*+')*+>)""", 1)
+    return F.regexp_extract(element, f"^(<[A-Za-z]+{TAG_REST})", 1)
 
 
 def _attrs_of(element: Column) -> Column:
-    return F.regexp_extract(element, r"""^<[A-Za-z]+((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", 1)
+    return F.regexp_extract(element, f"^<[A-Za-z]+{TAG_REST}", 1)
 
 
 def _empty_links(doc: Column) -> Column:
@@ -126,7 +128,7 @@ def _unlabelled_fields(doc: Column) -> Column:
     parts = F.struct(
         F.transform(start_tags(doc, "label"), lambda a: attribute(a, "for")).alias("targets"),
         # A field inside a label element is labelled by it.
-        F.regexp_replace(doc, r"(?is)<label(?=[\s>]).*?</label\s*>", "").alias("outside"),
+        F.regexp_replace(doc, r"(?is)<label(?=[\s>]).*?(?:</label\s*>|\z)", "").alias("outside"),
     )
 
     def find(p: Column) -> Column:
@@ -154,9 +156,7 @@ def _unlabelled_fields(doc: Column) -> Column:
 
 
 def _duplicate_ids(doc: Column) -> Column:
-    tags = F.regexp_extract_all(
-        doc, F.lit(r"""<[A-Za-z][A-Za-z0-9:-]*+((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""), F.lit(1)
-    )
+    tags = all_start_tags(doc)
     candidates = F.filter(tags, lambda attrs: attrs.rlike(r"(?i)\sid\s*="))
     ids = F.array_sort(
         F.filter(

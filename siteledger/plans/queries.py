@@ -19,9 +19,9 @@ from siteledger.operators import batching, crawl as crawl_op, dedupe, events as
 from siteledger.operators import filters, hosts, links, records, rename, routes, scan
 from siteledger.plans import inventory as inventory_plan, results
 from siteledger.plans.dispatch import dispatch
-from siteledger.plans.owner_rules import OWNER_RULES
+from siteledger.plans.site_map import map_links
 from siteledger.session import materialize, scratch_path
-from siteledger.sources import history as history_io, lists, messages as message_io
+from siteledger.sources import files, history as history_io, lists, messages as message_io
 from siteledger.sources import records as record_io
 from siteledger.streaming import events as stream_events, state
 
@@ -228,6 +228,36 @@ def crawl_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crawl_op.crawl(pages, seeds, max_depth=2)
 
 
+@query(
+    "site_map",
+    f"""WITH {_LINKS_SQL}, {_CRAWL_SEEDS},
+hit AS (SELECT DISTINCT l.site, l.url FROM seeds s
+  JOIN links l ON regexp_replace(l.page_url, '[?#].*$', '') = s.seed_url),
+u AS (SELECT site, url,
+        string_split(regexp_replace(site, '\\.example\\..*$', ''), '.') AS labels,
+        regexp_replace(regexp_extract(url, '^https?://[^/?#]*([^?#;]*)', 1), '^/', '') AS path
+      FROM hit),
+v AS (SELECT site, url, path, labels[-1] AS domain,
+        array_to_string([x for x in labels[:-2] if x <> 'www'], '.') AS subdomain FROM u)
+SELECT 'host ' || site AS "Agency", '' AS "Organization", domain, subdomain,
+  'example.com' AS tld, url AS routeable_url,
+  'host ' || site || '++' || domain || '+' || subdomain || '+' || path AS db_id FROM v""",
+)
+def site_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Link messages of every host, crawled from its first page (entry 4)."""
+    pages = table(spark, sf_dir, "pages")
+    first = pages.groupBy(url_fn.host_of(F.col("url")).alias("host")).agg(
+        F.min(url_fn.clean_url(F.col("url"))).alias("routeable_url")
+    )
+    sites = hosts.split_host(first, "host", _suffixes(spark)).withColumns({
+        "Agency": F.concat(F.lit("host "), "host"),
+        "Organization": F.lit(None).cast("string"),
+    })
+    return map_links(
+        sites, pages, suffixes=["example.com", "example.net", "example.org"]
+    )
+
+
 @query(
     "crawl_tree",
     """WITH RECURSIVE p AS (
@@ -931,9 +961,9 @@ SELECT agency, organization, domain, subdomain, n AS number_of_errors,
 def record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records exported as files, read back and consolidated."""
     current = records.latest_records(_records(spark, sf_dir), "event_id").drop("event_id")
-    files, data = scratch_path(spark, "records"), scratch_path(spark, "data")
-    record_io.write_record_files(current, files)
-    stored = record_io.read_record_files(spark, files, one_per_file=False)
+    exported, data = scratch_path(spark, "records"), scratch_path(spark, "data")
+    record_io.write_record_files(current, exported)
+    stored = record_io.read_record_files(spark, exported, one_per_file=False)
     readable, _ = records.split_unreadable(stored)
     record_io.write_records(records.from_files(readable), data)
     return record_io.read_records(spark, data).drop("document_title", "issues")
@@ -967,13 +997,13 @@ SELECT count(*) AS n_records, count(*) FILTER (n = 0) AS n_accessible,
 def joined_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The results joiner: stored records to table and share, within retention (entry 3)."""
     rows = _records(spark, sf_dir)
-    files = scratch_path(spark, "records")
+    exported = scratch_path(spark, "records")
     record_io.write_record_files(
-        records.latest_records(rows, "event_id").drop("event_id"), files
+        records.latest_records(rows, "event_id").drop("event_id"), exported
     )
     as_of = F.lit(rows.agg(F.max("scan_date")).first()[0])
     return results.join_results(
-        spark, files, scratch_path(spark, "data"), scratch_path(spark, "history"), as_of,
+        spark, exported, scratch_path(spark, "data"), scratch_path(spark, "history"), as_of,
         one_per_file=False,
     )
 
@@ -1089,6 +1119,30 @@ def scan_record_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- files and streams --------------------------------------------------------------------
 
 
+@query(
+    "stored_files",
+    """SELECT n_regionkey AS region, count(*) AS n_records FROM nation
+WHERE n_regionkey IN (0, 1, 3) GROUP BY 1""",
+)
+def stored_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record files by several prefixes and a name ending, then read in bulk."""
+    path = scratch_path(spark, "stored")
+    nations = table(spark, sf_dir, "nation")
+    nations.select(
+        F.concat(F.lit("r"), "n_regionkey").alias("owner"),
+        F.col("n_regionkey").cast("string").alias("agency"),
+        F.col("n_name").alias("domain"),
+    ).write.partitionBy("owner").json(path)
+    listed = files.list_files(spark, path, ["owner=r0", "owner=r1", "owner=r3"], ".json")
+    folders = listed.select(F.regexp_replace("path", "/[^/]*$", "")).distinct()
+    stored = record_io.read_record_files(
+        spark, [r[0] for r in folders.collect()], one_per_file=False  # one row per prefix
+    )
+    return stored.groupBy(F.col("agency").cast("int").alias("region")).agg(
+        F.count("*").alias("n_records")
+    )
+
+
 @query(
     "registry_csv",
     """SELECT lower('S' || s_suppkey || '.fed.us') AS "Domain Name", 'Type, ' || s_nationkey

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from siteledger import schemas
 from siteledger.operators.events import from_events
+from siteledger.operators.records import DEAD_LETTER_RETENTION_DAYS, retain
 
 MAX_RECEIVES = 2
 
@@ -51,3 +52,16 @@ def route_bad_messages(
         f"{dead_letter_path}/batch={batch_id}"
     )
     return batch.filter(~is_poison(max_receives)).drop("bad", "body")
+
+
+def read_dead_letters(
+    spark: SparkSession,
+    dead_letter_path: str,
+    as_of: Column,
+    days: int = DEAD_LETTER_RETENTION_DAYS,
+) -> DataFrame:
+    """Messages put aside in the last ``days`` days; older folders are not read."""
+    letters = spark.read.option("basePath", dead_letter_path).parquet(
+        f"{dead_letter_path}/batch=*"
+    )
+    return retain(letters, "ingest_date", as_of, days).drop("batch")

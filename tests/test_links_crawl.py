@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siteledger.operators import crawl as crawl_op, links
+from siteledger.plans.site_map import map_links
 from tests.conftest import rows
 
 H = "https://www.foo.gov"
@@ -131,3 +132,17 @@ def test_slash_limit(spark):
     )
     kept = df.filter(crawl_op.may_follow(F.col("u")))
     assert rows(kept) == [("https://h/a/b/c",)]
+
+
+def test_map_links(spark):
+    sites = spark.createDataFrame(
+        [("Ag", None, f"{H}/", "www", "foo", "gov")],
+        "Agency string, Organization string, routeable_url string, subdomain string, domain string, tld string",
+    )
+    got = map_links(sites, pages_df(spark, GRAPH))
+    assert {r.routeable_url for r in got.collect()} == set(REACHED)
+    one = got.filter("routeable_url = 'https://www.foo.gov/a/b/c/d'").first()
+    assert one.asDict() == {
+        "Agency": "Ag", "Organization": "", "domain": "foo", "subdomain": "", "tld": "gov",
+        "routeable_url": f"{H}/a/b/c/d", "db_id": "Ag++foo++a/b/c/d",
+    }

@@ -2,14 +2,15 @@
 
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from siteledger import schemas
-from siteledger.operators import records, scan
+from siteledger.operators import links, records, scan
 from siteledger.plans import results
-from siteledger.sources import history, records as record_io
+from siteledger.sources import files, history, records as record_io
 from tests.conftest import rows
 
 OK = '<html lang="en"><title>t</title>'
@@ -65,10 +66,20 @@ def test_issue_fields(spark):
     assert (issue.type, issue.typeCode, issue.context, issue.selector) == ("error", 1, '<img src="a">', "img")
 
 
-def test_broken_page_does_not_fail(spark):
-    bad = OK + "<p id='x" + "<img <a <form <input '\"" * 20_000
-    df = spark.createDataFrame([(bad,)], "html string")
-    assert scan.scan_pages(df, include_warnings=True).count() == 1
+@pytest.mark.parametrize("piece", [
+    "<img <a <form <input '\"", "<a href=x ", "<a href=x>", "<form>", "<label>", "<title>", "<title ",
+    "<html ", "<!--", "<script>", "<", "<p id='a' ", "<input \"", "&amp;", "<a href='", "</a ",
+])
+def test_broken_pages_take_linear_time(spark, piece):
+    """A long page of unclosed markup is read once, not once per tag."""
+    page = OK + "<p id='x" + piece * (400_000 // len(piece))
+    df = spark.createDataFrame([(page,), (OK + piece * 30_000,)], "html string")
+    start = time.perf_counter()
+    scanned = scan.scan_pages(df, include_warnings=True)
+    assert scanned.filter("issues IS NOT NULL").count() == 2
+    linked = links.page_links(df.withColumn("url", F.lit("https://a.gov/")))
+    assert linked.filter("links IS NOT NULL").count() == 2
+    assert time.perf_counter() - start < 60
 
 
 SITES = [
@@ -200,3 +211,20 @@ def test_retention_prunes_partitions(spark, tmp_path):
     assert sorted(r[0] for r in kept.collect()) == list(range(9, 20))
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(scan_date" in plan
+
+
+def test_list_files(spark, tmp_path):
+    for name in ("hist.json", "hist-old.json", "a/b/x.json", "a/b/y.txt", "ab/z.json", "c/w.json"):
+        path = tmp_path / "bucket" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("{}")
+    root = str(tmp_path / "bucket")
+
+    def names(df):
+        return sorted(r.path.split("/bucket/")[1] for r in df.collect())
+
+    assert len(names(files.list_files(spark, root))) == 6
+    assert names(files.list_files(spark, root, "a", ".json")) == ["a/b/x.json", "ab/z.json"]
+    assert names(files.list_files(spark, root, ["a/", "c", "none"], ".json")) == ["a/b/x.json", "c/w.json"]
+    assert files.first_file(spark, root, "hist").endswith("/hist-old.json")
+    assert files.first_file(spark, root, "nothing") is None

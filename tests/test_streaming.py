@@ -63,7 +63,10 @@ def test_intake(spark, tmp_path):
 
     dead = spark.read.option("basePath", str(tmp_path / "dead")).parquet(str(tmp_path / "dead" / "batch=*"))
     assert rows(dead, "message_id", "receive_count") == [("bad", 1), ("d", 3), (None, None)]
-    assert "ingest_date" in dead.columns
+    kept = events.read_dead_letters(spark, str(tmp_path / "dead"), F.current_date())
+    assert kept.count() == 3 and "ingest_date" in kept.columns
+    late = events.read_dead_letters(spark, str(tmp_path / "dead"), F.date_add(F.current_date(), 7))
+    assert late.count() == 0
 
     run(spark, tmp_path)  # nothing new
     assert current(spark, tmp_path).count() == 3

@@ -76,9 +76,9 @@ def test_attribute_presence(spark):
     values = [
         ("alt",), ('alt=""',), ('src="a" alt',), ('src="alt"',), ("data-alt=1",), ('title="x alt y"',),
     ]
-    values = [(" " + v[0],) for v in values]
+    values = [(" " + v[0] + ">",) for v in values] + [(' "stray" alt>',), (" x=1'y' alt>",)]
     assert evaluate(spark, lambda a: html.has_attribute(a, "alt"), values) == [
-        True, True, True, False, False, False,
+        True, True, True, False, False, False, True, True,
     ]
     values = [(' lang="en"',), (" lang=' '",), (" lang=''",), (" lang=de",), (" lang",), (" xlang=x",)]
     assert evaluate(spark, lambda a: html.has_text(a, "lang"), values) == [
