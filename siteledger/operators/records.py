@@ -62,8 +62,9 @@ def split_unreadable(files: DataFrame, issues: str = "issues") -> tuple[DataFram
     return files.filter(readable), files.filter(~readable)
 
 
-def from_files(files: DataFrame) -> DataFrame:
-    """Typed records from the stored form, whose issues are JSON inside a text."""
+def from_files(files: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Typed records from the stored form, whose issues are JSON inside a text. ``keep``
+    names further columns to carry, such as ``written_at``."""
     parsed = files.withColumn("_result", F.from_json("issues", schemas.SCAN_RESULT))
     return parsed.select(
         "agency",
@@ -77,6 +78,7 @@ def from_files(files: DataFrame) -> DataFrame:
             "issues"
         ),
         F.col("scanDate").try_cast("date").alias("scan_date"),
+        *keep,
     )
 
 

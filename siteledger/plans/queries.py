@@ -1192,7 +1192,7 @@ def seed_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     "dispatch",
     """WITH i AS (SELECT *, (row_number() OVER (ORDER BY c_custkey) - 1) // 10 AS batch_id
   FROM customer)
-SELECT batch_id, count(*) AS n, sum(CAST(substr(c_name, 10) AS BIGINT)) AS key_sum
+SELECT batch_id, count(*) AS n, CAST(sum(CAST(substr(c_name, 10) AS BIGINT)) AS BIGINT) AS key_sum
 FROM i WHERE c_mktsegment = 'BUILDING' GROUP BY 1""",
 )
 def dispatch_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,13 +52,19 @@ def join_results(
     upsert: bool = False,
     one_per_file: bool = True,
 ) -> DataFrame:
-    """All stored records to one table, and their accessible share to the history."""
+    """All stored records to one table, and their accessible share to the history.
+
+    Of several records under one key the one of the last scan, written last, counts.
+    """
     readable, _ = split_unreadable(read_record_files(spark, record_dir, one_per_file=one_per_file))
     records = retain(
-        from_files(readable).withColumn("scan_date", F.coalesce("scan_date", as_of.cast("date"))),
+        from_files(readable, ["written_at"]).withColumn(
+            "scan_date", F.coalesce("scan_date", as_of.cast("date"))
+        ),
         "scan_date", as_of, days,
     )
-    write_records(latest_records(records), data_path)
+    latest = latest_records(records, ["scan_date", "written_at"]).drop("written_at")
+    write_records(latest, data_path)
     share = accessible_share(read_records(spark, data_path))
     append_history(share, as_of, history_path, upsert=upsert)
     return share

@@ -151,6 +151,15 @@ def test_join_results(spark, tmp_path):
     assert [(str(r[0]), r[1]) for r in history.read_history(spark, paths[1]).collect()] == [("2024-01-15", 0.5)]
 
 
+def test_record_written_last_wins(spark, tmp_path):
+    folder = tmp_path / "results"
+    record_files(folder, {"old/a": stored(0, "2024-01-10", "a"), "new/a": stored(3, "2024-01-10", "a")})
+    os.utime(folder / "old" / "a.json", (1_700_000_000, 1_700_000_000))
+    share = results.join_results(spark, str(folder), str(tmp_path / "d"), str(tmp_path / "h"), F.lit("2024-01-11"))
+    assert share.first().n_accessible == 0
+    assert record_io.read_records(spark, str(tmp_path / "d")).first().number_of_errors == 3
+
+
 def test_unreadable_records_are_split_off(spark):
     files = spark.createDataFrame([("a", '{"issues":[]}'), ("b", None), ("c", "oops"), ("d", "{}")], "k string, issues string")
     good, bad = records.split_unreadable(files)
