@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from siteledger.functions.urls import clean_url, host_of, netloc as netloc_of, page_key
 from siteledger.operators.links import (
@@ -13,7 +13,6 @@ from siteledger.operators.links import (
     contains_any,
     has_ignored_extension,
     page_links,
-    unseen_links,
 )
 from siteledger.session import materialize, scratch_path
 
@@ -114,14 +113,20 @@ def crawl(
         )
         if rounds:
             # A link first seen in a form that is not followed may come back in one that is.
+            # Rounds never repeat such a row, so the seen set needs no distinct.
             seen = spark.read.schema(frontier.schema).parquet(*rounds)
-            found = unseen_links(found, seen, ["seed_url", "url", "follow"])
+            keys = ["seed_url", "url", "follow"]
+            found = found.join(seen.select(*keys), keys, "left_anti")
         path = f"{root}/rounds/{depth}"
+        written = Observation()
         frontier = materialize(
-            found.withColumn("depth", F.lit(depth)).select(*frontier.columns), path
+            found.withColumn("depth", F.lit(depth))
+            .select(*frontier.columns)
+            .observe(written, F.count_if("follow").alias("to_follow")),
+            path,
         )
         rounds.append(path)
-        if frontier.filter("follow").isEmpty():
+        if not written.get["to_follow"]:
             break
 
     paths = ([f"{root}/rounds/0"] if emit_seed else []) + rounds

@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def with_fields(df: DataFrame, fields: dict[str, Column]) -> DataFrame:
-    """Add columns that are computed exactly once per row, whatever is done with them later.
+    """Add or replace columns that are computed exactly once per row, whatever is done with them later.
 
     A filter on a projected column is moved below the projection and computes the column
     again. A generator of one struct is not crossed by such filters.
     """
     row = F.struct(*[c.alias(name) for name, c in fields.items()])
-    return df.select("*", F.inline_outer(F.array(row)).alias(*fields))
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in fields]
+    return df.select(*rest, F.inline_outer(F.array(row)).alias(*fields))
 
 
 def explode_kept(

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from siteledger import schemas
 from siteledger.functions.text import clean_host_text
 from siteledger.operators.filters import INVENTORY_TLDS, drop_headers, has_domain, keep_tlds
 from siteledger.operators.hosts import split_host
 
+logger = logging.getLogger(__name__)
+
 # A quote inside a quoted field is written twice, as in any spreadsheet export.
 QUOTE = '"'
 
@@ -45,10 +48,11 @@ def read_registry(spark: SparkSession, path: str, suffixes: DataFrame) -> DataFr
 def _read_seed_list(spark: SparkSession, path: str, idx: int) -> DataFrame | None:
     first = T.StructType([T.StructField("site", T.StringType())])
     try:
-        rows = spark.read.csv(path, schema=first, header=False, escape=QUOTE)
-        return _with_order(rows, idx)
-    except AnalysisException:
-        # A list that cannot be found is skipped; the others are still read.
+        reader = spark.read.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
+        return _with_order(reader.csv(path, schema=first, header=False, escape=QUOTE), idx)
+    except AnalysisException as e:
+        # A list that cannot be read is skipped; the others are still read.
+        logger.warning("seed list %s is skipped: %s", path, e.getCondition())
         return None
 
 

@@ -60,6 +60,15 @@ def test_split_host_null_and_no_shuffle(spark):
     assert "Exchange" not in plan and "Join" not in plan
 
 
+def test_split_is_computed_once_and_replaces_columns(spark):
+    df = spark.createDataFrame([("a.gov", "old")], "host string, domain string")
+    got = hosts.split_host(df, "host", hosts.default_suffixes(spark)).filter("domain = 'a'")
+    assert rows(got, "domain") == [("a",)] and got.columns.count("domain") == 1
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # The filter stays above the generator; below it the split would be computed again.
+    assert plan.index("Filter (isnotnull(domain") < plan.index("Generate inline")
+
+
 def test_large_suffix_table_is_a_hash_set(spark):
     many = [(f"s{i}", "plain") for i in range(12_000)]
     df = spark.createDataFrame([("a.s7",), ("a.s11999",), ("a.s12000",)], "host string")
