@@ -31,7 +31,7 @@ def scan_sites(
 ) -> DataFrame:
     """Scan records of all inventory sites whose page was fetched.
 
-    Page source is never shuffled: a counted, small site list is broadcast so that only its
+    The inventory is read more than once, so it should be a written table. Page source is never shuffled: a counted, small site list is broadcast so that only its
     pages are scanned; with a longer one every page is scanned where it lies, and the much
     smaller results are joined.
     """

@@ -1,6 +1,9 @@
 """Text and HTML expressions: P1, P7, P8, P10, P11, P19-P21, P25."""
 
 import html as html_lib
+import json
+import random
+from html.parser import HTMLParser
 
 from pyspark.sql import functions as F
 
@@ -92,3 +95,64 @@ def test_issue_count(spark):
         ("not json",), (None,), ("[1]",),
     ]
     assert evaluate(spark, messages.issue_count, values) == [2, 0, 0, None, None, None]
+
+
+class Anchors(HTMLParser):
+    """The hrefs of a page by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.found = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "a":
+            values = [v for k, v in attrs if k == "href"]
+            self.found.append((values[0] or "") if values else None)
+
+
+def random_page(rng):
+    def attr():
+        name = rng.choice(["href", "HREF", "class", "data-href", "title", "hreflang", "disabled", "x:href"])
+        value = rng.choice(["/a", "/b?x=1&amp;y=2", "a b", "x > y", "&#233;", "href=/no", "", "é", "/p;q", "//h/p", "a=b"])
+        space = rng.choice(["", " ", "\n"])
+        form = rng.choice(['"', "'", "bare", "none"])
+        if form == "none":
+            return name
+        if form == "bare":
+            return f"{name}{space}={space}{value.replace(' ', '_').replace('>', '') or 'v'}"
+        return f"{name}{space}={space}{form}{value}{form}"
+
+    def tag():
+        name = rng.choice(["a", "A", "abbr", "p", "area"])
+        attrs = "".join(rng.choice([" ", "\n", "\t "]) + attr() for _ in range(rng.randint(0, 4)))
+        return f"<{name}{attrs}{rng.choice(['', ' ', ' /'])}>"
+
+    pieces = [
+        tag, tag, tag, lambda: "text & <3 ", lambda: "</a>", lambda: f"<!-- {tag()} -->",
+        lambda: f"<script>{tag()}</script>", lambda: f"<style>{tag()}</style >", lambda: "<br/>",
+    ]
+    return "".join(rng.choice(pieces)() for _ in range(rng.randint(1, 12)))
+
+
+def test_hrefs_of_random_pages_like_the_standard_parser(spark):
+    rng = random.Random(11)
+    pages = [random_page(rng) for _ in range(3000)]
+
+    def hrefs(c):
+        return F.to_json(
+            F.transform(
+                html.start_tags(html.visible_markup(c), "a"),
+                lambda a: html.decode_entities(html.attribute(a, "href")),
+            ),
+            {"ignoreNullFields": "false"},
+        )
+
+    wrong = []
+    for page, got in zip(pages, evaluate(spark, hrefs, [(p,) for p in pages])):
+        parser = Anchors()
+        parser.feed(page)
+        parser.close()
+        # A href without a value is as good as none: neither gives a link.
+        if [v or "" for v in json.loads(got)] != [v or "" for v in parser.found]:
+            wrong.append((page, got, parser.found))
+    assert wrong == [], wrong[:3]
