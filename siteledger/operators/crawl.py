@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from siteledger.functions.urls import clean_url, host_of, netloc as netloc_of, page_key
 from siteledger.operators.links import (
@@ -93,8 +93,8 @@ def crawl(
             (own if netloc is None else netloc).alias("netloc"),
             F.lower(host_of(own) if allowed_host is None else allowed_host).alias("host"),
             clean_url(F.col(f"`{seed}`")).alias("url"),
-        ).distinct().withColumns({"follow": F.lit(True), "depth": F.lit(0)}),
-        f"{root}/rounds/0",
+        ).distinct().withColumn("follow", F.lit(True)),
+        f"{root}/rounds/depth=0",
     )
     rounds: list[str] = []
     depth = 0
@@ -117,26 +117,25 @@ def crawl(
             seen = spark.read.schema(frontier.schema).parquet(*rounds)
             keys = ["seed_url", "url", "follow"]
             found = found.join(seen.select(*keys), keys, "left_anti")
-        path = f"{root}/rounds/{depth}"
+        # The depth is in the folder name only: every round then runs the same compiled code.
+        path = f"{root}/rounds/depth={depth}"
         written = Observation()
         frontier = materialize(
-            found.withColumn("depth", F.lit(depth))
-            .select(*frontier.columns)
-            .observe(written, F.count_if("follow").alias("to_follow")),
+            found.select(*frontier.columns).observe(
+                written, F.count_if("follow").alias("to_follow")
+            ),
             path,
         )
         rounds.append(path)
         if not written.get["to_follow"]:
             break
 
-    paths = ([f"{root}/rounds/0"] if emit_seed else []) + rounds
-    if not paths:
-        paths, keep = [f"{root}/rounds/0"], F.lit(False)
-    else:
-        keep = F.lit(True)
+    first = 0 if emit_seed else 1
     return (
-        spark.read.schema(frontier.schema).parquet(*paths)
-        .filter(keep)
+        spark.read.schema(T.StructType([*frontier.schema, T.StructField("depth", T.IntegerType())]))
+        .option("basePath", f"{root}/rounds")
+        .parquet(f"{root}/rounds/depth=0", *rounds)
+        .filter(F.col("depth") >= first)
         .groupBy(F.col("seed_url").alias(seed), "url")
         .agg(F.min("depth").alias("depth"))
     )
