@@ -85,19 +85,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op4_substring_dedup": r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
-at AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50),
-g AS (SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS passage FROM at),
+p AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS passage FROM p),
 f AS (SELECT passage, min(doc_id) AS first FROM g GROUP BY passage),
 c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS k FROM g JOIN f USING (passage) WHERE first < doc_id),
 r AS (SELECT doc_id, list(k) AS gone FROM c GROUP BY doc_id)
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
   sha256(coalesce(array_to_string(CASE WHEN gone IS NULL THEN ws
-    ELSE list_filter(ws, (x, k) -> NOT list_contains(gone, k)) END, ' '), '')) AS kept_sha256
+    ELSE list_filter(ws, lambda x, k: NOT list_contains(gone, k)) END, ' '), '')) AS kept_sha256
 FROM w LEFT JOIN r USING (doc_id)""",
     "op9_embedding_graph": """
 WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-  AND len(list_filter(embedding, x -> x <> 0)) > 0),
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
   WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
 r AS (SELECT vec_id, vec_id AS root FROM embeddings UNION SELECT l.b, r.root FROM r JOIN l ON r.vec_id = l.a),
@@ -106,8 +106,8 @@ n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
 SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
 FROM c LEFT JOIN n ON n.a = c.vec_id""",
     "op10_exact_topk": f"""
-WITH v AS (SELECT vec_id, CAST(list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS DOUBLE[]) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+WITH v AS (SELECT vec_id, CAST(list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.vec_id AS query_id, x.vec_id, CAST(list_dot_product(q.e, x.e) AS BIGINT) AS score
   FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % {EVERY} = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
