@@ -23,11 +23,11 @@ def token_pieces(docs: DataFrame, capacity: int, tokenizer: str = WORD_BPE, end_
     """Documents as runs of at most ``capacity`` ids, ``end_id`` behind each document's own."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, end, width = word_encoder(tokenizer).ids, end_id.to_bytes(4, "little"), 4 * capacity
-        for batch in slices(batches):
+        encode, end, width = word_encoder(tokenizer).encode, end_id.to_bytes(4, "little"), 4 * capacity
+        for batch in slices(batches, most=2 << 20):
             out: list[tuple] = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                data = ids(text.as_py()) + end
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist()), strict=True):
+                data = ids + end
                 for k, at in enumerate(range(0, len(data), width)):
                     part = data[at : at + width]
                     out.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))

@@ -6,7 +6,8 @@ import base64
 import functools
 import hashlib
 import os
-import re
+from itertools import compress, repeat
+from operator import is_
 
 import numpy as np
 import public_tokenizers
@@ -75,46 +76,77 @@ class WordEncoder:
     encoded alone; a word is remembered, as most of a text's words come again.
     """
 
-    _TAIL = ".,;:!?"
+    _TAIL = b".,;:!?"
 
     def __init__(self, name: str = WORD_BPE):
         self.tokenizer, self.memo = load(name), {}
+        ends = [i for word, i in self.tokenizer.get_vocab().items() if word.endswith("</w>")]
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.ends[ends] = True
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Words of letters only are one pretoken each, closed by a token that ends a word: they are encoded in one go."""
+        plain, other, out = [], [], {}
+        for word in words:
+            (plain if word.decode("utf-8", "replace").lower().isalpha() else other).append(word)
+        for at in range(0, len(plain), 1000):
+            part = plain[at : at + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, dtype="<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(part):
+                other += part
+                continue
+            data, begin = ids.tobytes(), 0
+            for word, stop in zip(part, (4 * stops).tolist(), strict=True):
+                out[word] = data[begin:stop]
+                begin = stop
+        if other:
+            encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in other], add_special_tokens=False)
+            out.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(other, encoded, strict=True))
+        return out
 
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
         """A word that ends in a letter, with plain marks behind it, is its two parts: they make pretokens of their own."""
-        memo, parts, need = self.memo, {}, set()
+        memo, parts, need = self.memo, [], set()
         for word in words:
             core = word.rstrip(self._TAIL)
-            if core and core.lower()[-1].isalpha() and len(core) <= MEMO_CHARS:
-                low, tail = core.lower() if core.isascii() else core, word[len(core) :]
-                parts[word] = (low, tail) if tail else (low,)
+            if core and len(core) <= MEMO_CHARS and (core[-1:].isalpha() or core.decode("utf-8", "replace").lower()[-1].isalpha()):
+                low = core.lower() if core.isascii() else core
+                tail = word[len(core) :]
+                parts.append((word, low, tail))
+                if tail and tail not in memo:
+                    need.add(tail)
             else:
-                parts[word] = (word,)
-            need.update(p for p in parts[word] if p not in memo)
-        todo = list(need)
-        fresh = dict(zip(todo, self._encode(todo), strict=True)) if todo else {}
-        get = lambda p: fresh[p] if p in fresh else memo[p]
-        out = {word: b"".join(map(get, ps)) for word, ps in parts.items()}
-        memo.update((w, b) for source in (fresh, out) for w, b in source.items() if len(w) <= MEMO_CHARS)
+                low = word
+                parts.append((word, word, b""))
+            if low not in memo:
+                need.add(low)
+        fresh = self._encode(list(need))
+        out = {}
+        for word, low, tail in parts:
+            ids = fresh[low] if low in fresh else memo[low]
+            out[word] = ids + (fresh[tail] if tail in fresh else memo[tail]) if tail else ids
+        for source in (fresh, out):
+            memo.update((w, b) for w, b in source.items() if len(w) <= MEMO_CHARS)
         return out
 
-    def ids(self, text: str) -> bytes:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; call it with a few MB of texts."""
         memo = self.memo
         if len(memo) > MEMO_WORDS:
             memo.clear()
-        words = _WORDS(text)
-        try:
-            return b"".join(map(memo.__getitem__, words))
-        except KeyError:
-            fresh = self._learn({w for w in words if w not in memo})
-            get = memo.get
-            return b"".join([get(w) or fresh.get(w, b"") for w in words])
+        split = [t.encode("utf-8", "replace").split() for t in texts]  # bytes split at ASCII white space only
+        known = [list(map(memo.get, words)) for words in split]
+        gaps = [None in parts for parts in known]
+        missing: set[bytes] = set()
+        for words, parts, gap in zip(split, known, gaps, strict=True):
+            if gap:
+                missing.update(compress(words, map(is_, parts, repeat(None))))
+        fresh = self._learn(missing)
+        return [b"".join([fresh[w] if p is None else p for w, p in zip(words, parts, strict=True)] if gap else parts) for words, parts, gap in zip(split, known, gaps, strict=True)]
 
-
-_WORDS = re.compile(r"[^\x20\x09-\x0D]+").findall
+    def ids(self, text: str) -> bytes:
+        return self.encode([text])[0]
 
 
 @functools.cache
