@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 #: Words a worker remembers, and the longest of them in characters.
-MEMO_WORDS, MEMO_CHARS = 1_000_000, 48
+MEMO_WORDS, MEMO_CHARS = 1_600_000, 48
 
 #: Byte-level vocabularies that the public folder also has as ranks.
 RANKS = {BYTE_BPE: "byte_bpe_50k.tiktoken"}
