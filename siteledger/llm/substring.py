@@ -15,7 +15,7 @@ from siteledger.llm.common import WordCodes, doc_rows, gram_hashes, packed, save
 #: Multipliers of the rolling hashes of anchors and of what surrounds them.
 _BY, _AROUND = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 #: Rows of one anchor with different surroundings that one automaton holds; beyond, windows are compared by hash.
-AUTOMATON_PIECES = 2_000
+AUTOMATON_PIECES = 256
 _ROW = "doc_id bigint, dig bigint"
 #: Where a null id stands in the order of documents: last.
 _LAST = (1 << 63) - 1
