@@ -160,30 +160,30 @@ def repeated_windows(rows: DataFrame, window: int, automaton_pieces: int = AUTOM
         for batch in slices(batches):
             out: list[tuple] = []
             for doc, dig, text, places in zip(batch.column("doc_id").to_pylist(), batch.column("dig").to_pylist(), batch.column("text"), batch.column("places").to_pylist(), strict=True):
-                codes = _codes.of(_words(text.as_py())).view(np.int64)
+                words = _words(text.as_py())
                 for p in places:
                     begin = max(0, p["pos"] - reach)
-                    out.append((doc, dig, p["pos"], p["anchor"], p["pieces"], begin, codes[begin : p["pos"] + window].tobytes()))
+                    out.append((doc, dig, p["pos"], p["anchor"], p["pieces"], begin, b" ".join(words[begin : p["pos"] + window])))
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
             columns = list(zip(*out, strict=True)) if out else [()] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "dig", "pos", "anchor", "pieces", "begin", "codes"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "dig", "pos", "anchor", "pieces", "begin", "piece"])
 
     texts = rows.join(lists, ["doc_id", "dig"]).select("doc_id", "dig", "text", "places")
-    cuts = saved(texts.mapInArrow(cut, _ROW + ", pos int, anchor bigint, pieces bigint, begin int, codes binary"), "cuts")
+    cuts = saved(texts.mapInArrow(cut, _ROW + ", pos int, anchor bigint, pieces bigint, begin int, piece binary"), "cuts")
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows arrive sorted by anchor and document: each streams through what earlier documents put in."""
         now, automaton, waiting, owner = None, SuffixAutomaton(), [], None
         for batch in batches:
             out: list[tuple] = []
-            for doc, dig, pos, key, begin, data in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "dig", "pos", "anchor", "begin", "codes")), strict=True):
+            for doc, dig, pos, key, begin, data in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "dig", "pos", "anchor", "begin", "piece")), strict=True):
                 if key != now:
                     now, automaton, waiting, owner = key, SuffixAutomaton(), [], doc
                 elif doc != owner:
                     for text in waiting:
                         automaton.add(text)
                     waiting, owner = [], doc
-                text = np.frombuffer(data, dtype=np.int64).tolist()
+                text = data.split()
                 starts, runs = 0, automaton.matching(text)
                 for end, run in enumerate(runs):
                     if run >= window:  # a maximal span reaches back at least a window
@@ -196,24 +196,24 @@ def repeated_windows(rows: DataFrame, window: int, automaton_pieces: int = AUTOM
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int64()), strict=True)], ["doc_id", "dig", "pos", "starts"])
 
     found_schema = _ROW + ", pos int, starts bigint"
-    routed = cuts.where(F.col("pieces") <= automaton_pieces).select("doc_id", "dig", "pos", "anchor", "begin", "codes")
+    routed = cuts.where(F.col("pieces") <= automaton_pieces).select("doc_id", "dig", "pos", "anchor", "begin", "piece")
     matched = routed.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "dig", "pos").mapInArrow(match, found_schema)
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Windows of an anchor with too many surroundings for one automaton."""
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
-            for doc, dig, pos, key, begin, data in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "dig", "pos", "anchor", "begin", "codes")), strict=True):
-                hashes = gram_hashes(np.frombuffer(data, dtype=np.uint64), window, _AROUND).view(np.int64)
+            for doc, dig, pos, key, begin, data in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "dig", "pos", "anchor", "begin", "piece")), strict=True):
+                hashes = gram_hashes(_codes.of(data.split()), window, _AROUND).view(np.int64)
                 places = np.arange(len(hashes)) + begin - (pos - reach)
                 for column, values in zip(out, (np.full(len(hashes), doc), np.full(len(hashes), dig), np.full(len(hashes), pos), np.full(len(hashes), key), places, hashes), strict=True):
                     column.append(values)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else [], t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()), strict=True)], ["doc_id", "dig", "pos", "anchor", "place", "hash"])
 
-    many = cuts.where(F.col("pieces") > automaton_pieces).select("doc_id", "dig", "pos", "anchor", "begin", "codes")
-    windows = saved(many.mapInArrow(explode, _ROW + ", pos int, anchor bigint, place int, hash bigint"), "windows")
-    firsts = windows.groupBy("anchor", "place", "hash").agg(F.min("doc_id").alias("first"))
-    late = windows.join(firsts, ["anchor", "place", "hash"]).where("doc_id > first")
+    many = cuts.where(F.col("pieces") > automaton_pieces).select("doc_id", "dig", "pos", "anchor", "begin", "piece")
+    windows = many.mapInArrow(explode, _ROW + ", pos int, anchor bigint, place int, hash bigint")
+    firsts = windows.groupBy("anchor", "hash").agg(F.min("doc_id").alias("first"))
+    late = windows.join(firsts, ["anchor", "hash"]).where("doc_id > first")
     late = late.groupBy("doc_id", "dig", "pos").agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("starts"))
 
     every = whole.unionByName(matched).unionByName(late)
