@@ -16,7 +16,7 @@ from siteledger.llm.features import WordFeatures
 from siteledger.llm.linear import Sparse, fit_logistic, sigmoid
 
 #: Labelled documents (at most) that the chain is trained on, columns, folds, and features of a category.
-LABELLED, BITS, FOLDS, FEATURES = 16_384, 20, 5, 2_000
+LABELLED, BITS, FOLDS, FEATURES = 8_192, 20, 5, 2_000
 
 
 @functools.cache
