@@ -105,7 +105,7 @@ def _named_references() -> str:
     return json.dumps(table)
 
 
-_REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+_REFERENCE = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
 
 def _code_point(digits: Column) -> Column:
@@ -119,12 +119,12 @@ def decode_entities(c: Column) -> Column:
     names = F.from_json(F.lit(_named_references()), "map<string,string>")
 
     def replaced(p: Column, ref: Column) -> Column:
-        digits = F.when(ref.rlike("^#[xX]"), F.substring(ref, 3, 6)).otherwise(
-            F.hex(F.substring(ref, 2, 7).try_cast("bigint"))
+        number = F.regexp_replace(ref, "^#[xX]?0*", "")  # any number of leading zeros
+        digits = F.when(ref.rlike("^#[xX]"), number).otherwise(
+            F.hex(F.when(F.length(number) <= 7, F.coalesce(number.try_cast("bigint"), F.lit(0))))
         )
-        char = F.when(
-            ref.startswith("#"), let(F.lpad(digits, 8, "0"), _code_point)
-        ).otherwise(F.element_at(names, ref))
+        known = F.when(F.length(digits) <= 8, F.lpad(digits, 8, "0")).otherwise("FFFFFFFF")
+        char = F.when(ref.startswith("#"), let(known, _code_point)).otherwise(F.element_at(names, ref))
         return F.coalesce(
             F.concat(char, F.substr(p, F.length(ref) + 2)),
             F.concat(F.lit("&"), p),

@@ -163,7 +163,9 @@ def resolve_against(base: BaseUrl, href: Column) -> Column:
             F.when(
                 own_scheme & ~href.rlike("^[^:]*://"),
                 let(F.regexp_replace(href, _SCHEME, ""), relative),
-            ).otherwise(href),
+            )
+            .when(own_scheme, F.concat(F.lower(F.regexp_extract(href, _SCHEME, 0)), F.regexp_replace(href, _SCHEME, "")))
+            .otherwise(href),
         )
         .otherwise(relative(href))
     )

@@ -9,9 +9,7 @@ from siteledger.functions.text import clean_host_text
 from siteledger.functions.urls import host_of
 from siteledger.operators.explode import with_fields
 
-#: Suffix tables up to this many rows are matched inside a column expression, without any
-#: shuffle; the published list has about 10,000 rows. Larger tables are joined.
-MAX_INLINE_SUFFIXES = 50_000
+KINDS = ("plain", "wildcard", "exception")
 
 # Fixed values: (suffix, kind) rows that cover the inventories this library is built for.
 # Pass a full published list, read with sources.suffixes.read_suffixes, for other sites.
@@ -37,46 +35,26 @@ def default_suffixes(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(DEFAULT_SUFFIXES, schemas.SUFFIX)
 
 
-def _in_list(value: str, suffixes: list[str]) -> str:
-    if not suffixes:
-        return "false"
-    # Beyond a few entries Spark evaluates IN as one hash-set lookup.
-    quoted = (s.replace("\\", "\\\\").replace("'", "\\'") for s in suffixes)
-    return f"{value} IN ({', '.join(f"'{q}'" for q in quoted)})"
-
-
 _LABELS = "length(_host) - length(replace(_host, '.', '')) + 1"
 
 
-def _match_inline(df: DataFrame, rows: list[tuple[str, str]]) -> DataFrame:
-    """Add ``_n``, the number of suffix labels of ``_host``, with no join and no shuffle."""
-    kinds: dict[str, list[str]] = {"plain": [], "wildcard": [], "exception": []}
-    for suffix, kind in rows:
-        kinds[kind].append(suffix)
-    tail, parent = "substring_index(_host, '.', -k)", "substring_index(_host, '.', 1 - k)"
-    exception = _in_list(tail, kinds["exception"])
-    match = (
-        f"{exception} OR {_in_list(tail, kinds['plain'])}"
-        f" OR (k > 1 AND {_in_list(parent, kinds['wildcard'])})"
-    )
-    # k counts labels from the right; the longest tail is tried first.
-    longest = f"slice(filter(sequence({_LABELS}, 1, -1), k -> {match}), 1, 1)"
-    return df.withColumn(
-        "_n", F.expr(f"get(transform({longest}, k -> IF({exception}, k - 1, k)), 0)")
-    )
-
+def _match(df: DataFrame, suffixes: DataFrame) -> DataFrame:
+    """Add ``_n``, the number of suffix labels of ``_host``: join the tails of the distinct hosts.
 
-def _match_by_join(df: DataFrame, suffixes: DataFrame) -> DataFrame:
-    """The same for suffix tables of any size: join the tails of the distinct hosts."""
+    Distinct hosts and suffixes are all that moves besides the rows' own hosts; Spark
+    broadcasts whichever side its size allows.
+    """
     tails = df.select("_host").distinct().select(
         "_host",
         F.expr(_LABELS).alias("_labels"),
         F.explode(F.expr(f"sequence({_LABELS}, 1, -1)")).alias("_k"),
     ).withColumn("_tail", F.expr("substring_index(_host, '.', -_k)"))
+    unknown = F.raise_error(F.concat(F.lit("unknown kind of suffix: "), F.col("kind")))
+    kind = F.when(F.col("kind").isin(*KINDS), F.col("kind")).otherwise(unknown.cast("string"))
     is_exception = (F.col("kind") == "exception").cast("int")
     position = F.col("_k") + (F.col("kind") == "wildcard").cast("int")
     found = (
-        tails.join(suffixes.select(F.col("suffix").alias("_tail"), "kind"), "_tail")
+        tails.join(suffixes.select(F.col("suffix").alias("_tail"), kind.alias("kind")), "_tail")
         .filter(position <= F.col("_labels"))
         .groupBy("_host")
         .agg(F.max(position * 2 + is_exception).alias("_best"))
@@ -90,21 +68,16 @@ def split_host(
     column: str,
     suffixes: DataFrame,
     names: tuple[str, str, str] = ("subdomain", "domain", "tld"),
-    max_inline: int = MAX_INLINE_SUFFIXES,
 ) -> DataFrame:
     """Add subdomain, domain and tld of the host or URL in ``column``.
 
     ``suffixes`` holds (suffix, kind) rows with kind ``plain``, ``wildcard`` (``ck`` stands
     for ``*.ck``) or ``exception``. The longest matching tail wins and an exception beats a
     wildcard. A bare suffix has an empty domain; an unknown suffix is an empty tld with the
-    last label as domain; an IP address is its own domain.
+    last label as domain; an IP address is its own domain. Any other kind is an error.
     """
     hosts = df.withColumn("_host", host_of(clean_host_text(F.col(f"`{column}`"))))
-    rows = [(r.suffix, r.kind) for r in suffixes.limit(max_inline + 1).collect()]
-    if len(rows) <= max_inline:
-        matched = _match_inline(hosts, rows)
-    else:
-        matched = _match_by_join(hosts, suffixes)
+    matched = _match(hosts, suffixes)
 
     host = F.col("_host")
     address = host.rlike(_IPV4) | host.startswith("[")

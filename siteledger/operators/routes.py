@@ -33,17 +33,24 @@ def resolve_routes(
     probe ended at, any other status NULL. Sites without a deciding probe are left out; a
     left join on the site shows them as NULL.
 
-    Of repeated probes of one address the latest by the column ``probed_at`` counts. ``keep``
+    Of repeated probes of one address the latest by the column ``probed_at`` counts; without
+    such a column one that decides does, an answer of status 200 before any other. ``keep``
     carries columns of the candidates along, so that they need not be joined again.
     """
     timed_out = F.col("outcome") == TIMEOUT
-    probes = latest_per_key(
-        probe_log.select(
-            "candidate_url", "outcome", "status", "final_url", *([probed_at] if probed_at else [])
-        ),
-        ["candidate_url"],
-        [probed_at] if probed_at else [],
-    ).filter(timed_out | (F.col("status") < 400))
+    decides = timed_out | (F.col("status") < 400)
+    columns = ["candidate_url", "outcome", "status", "final_url"]
+    if probed_at:
+        probes = latest_per_key(
+            probe_log.select(*columns, probed_at), ["candidate_url"], [probed_at]
+        ).filter(decides)
+    else:
+        good = F.coalesce(F.col("status") == 200, F.lit(False))
+        probes = latest_per_key(
+            probe_log.select(*columns, good.alias("_good")).filter(decides),
+            ["candidate_url"],
+            ["_good"],
+        )
     url = F.when(timed_out, F.lit(TIMEOUT)).when(F.col("status") == 200, F.col("final_url"))
     decided = candidates.select(site, *keep, "rank", "candidate_url").join(probes, "candidate_url")
     return keep_first(

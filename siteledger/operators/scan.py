@@ -27,7 +27,8 @@ from siteledger.functions.html import (
     visible_markup,
 )
 from siteledger.functions.text import strip
-from siteledger.functions.urls import let
+from siteledger.functions.urls import let, page_key
+from siteledger.operators.dedupe import latest_per_key
 from siteledger.operators.explode import explode_kept, with_fields
 
 ERROR, WARNING = "error", "warning"
@@ -310,17 +311,26 @@ def scan_records(
     as_of: Column,
     url: str = "url",
     failures: bool = False,
+    fetched_at: str | None = None,
 ) -> DataFrame:
     """A2: one record per inventory site whose page was scanned.
 
+    Sites and pages meet under ``page_key``. A page scanned several times counts once: the
+    newest by ``fetched_at``, or else the last in the order of its columns.
     F17: sites without a result leave no record; ``failures`` returns those sites instead.
     """
-    results = scanned.filter("issues IS NOT NULL").select(
-        F.col(f"`{url}`").alias("routeable_url"), "document_title", "issues"
-    )
+    order = [fetched_at] if fetched_at else []
+    results = latest_per_key(
+        scanned.filter("issues IS NOT NULL").select(
+            page_key(F.col(f"`{url}`")).alias("_page"), "document_title", "issues", *order
+        ),
+        ["_page"],
+        order,
+    ).drop(*order)
+    inventory = inventory.withColumn("_page", page_key(F.col("routeable_url")))
     if failures:
-        return inventory.join(results.select("routeable_url"), "routeable_url", "left_anti")
-    return inventory.join(results, "routeable_url").select(
+        return inventory.join(results.select("_page"), "_page", "left_anti").drop("_page")
+    return inventory.join(results, "_page").select(
         F.col("Agency").alias("agency"),
         F.col("Organization").alias("organization"),
         "domain",

@@ -212,20 +212,24 @@ _CRAWL_SEEDS = """seeds AS (SELECT min(url) AS seed_url, host FROM (
 
 @query(
     "crawl",
-    f"""WITH {_LINKS_SQL}, {_CRAWL_SEEDS}
-SELECT s.seed_url, l.url, 1 AS depth FROM seeds s
-JOIN links l ON regexp_replace(l.page_url, '[?#].*$', '') = s.seed_url
-GROUP BY s.seed_url, l.url""",
+    f"""WITH RECURSIVE {_LINKS_SQL}, {_CRAWL_SEEDS},
+edges AS (SELECT DISTINCT regexp_replace(page_url, '[?#].*$', '') AS page, url FROM links),
+walk AS (
+  SELECT s.seed_url, e.url, 1 AS depth FROM seeds s JOIN edges e ON e.page = s.seed_url
+  UNION
+  SELECT w.seed_url, e.url, w.depth + 1 FROM walk w JOIN edges e ON e.page = w.url
+  WHERE w.depth < (SELECT count(*) FROM pages))
+SELECT seed_url, url, CAST(min(depth) AS INTEGER) AS depth FROM walk GROUP BY 1, 2""",
 )
 def crawl_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Crawl from the first page of every host, two rounds."""
+    """Crawl from the first page of every host, to the end."""
     pages = table(spark, sf_dir, "pages")
     seeds = (
         pages.groupBy(url_fn.netloc(F.col("url")).alias("host"))
         .agg(F.min(url_fn.clean_url(F.col("url"))).alias("seed_url"))
         .select("seed_url")
     )
-    return crawl_op.crawl(pages, seeds, max_depth=2)
+    return crawl_op.crawl(pages, seeds)
 
 
 @query(
@@ -378,7 +382,7 @@ def suffix_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def suffix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with the join used for suffix tables too large to inline."""
     rows = hosts.split_host(
-        _hosts(spark, sf_dir), "host", _suffixes(spark, SPLIT_SUFFIXES), max_inline=0
+        _hosts(spark, sf_dir), "host", _suffixes(spark, SPLIT_SUFFIXES)
     )
     return rows.select("host", "tld", "domain", "subdomain")
 

@@ -17,29 +17,25 @@ from siteledger.sources.history import append_history
 from siteledger.sources.records import read_record_files, read_records, write_records
 
 
-#: Site lists up to this many rows are sent to every executor (about 100 bytes a row).
-MAX_BROADCAST_SITES = 500_000
-
-
 def scan_sites(
     inventory: DataFrame,
     pages: DataFrame,
     as_of: Column,
     url: str = "url",
     html: str = "html",
-    max_broadcast: int = MAX_BROADCAST_SITES,
+    fetched_at: str | None = None,
+    failures: bool = False,
 ) -> DataFrame:
-    """Scan records of all inventory sites whose page was fetched.
+    """Scan records of all inventory sites whose page was fetched; ``failures`` gives the others.
 
-    The inventory is read more than once, so it should be a written table. Page source is never shuffled: a counted, small site list is broadcast so that only its
-    pages are scanned; with a longer one every page is scanned where it lies, and the much
-    smaller results are joined.
+    Page source is never shuffled: pages are scanned where they lie, and the much smaller
+    results are joined under the key of their page, so ``https://a.gov`` and ``https://a.gov/``
+    are one. Of several fetches of a page the newest by ``fetched_at`` counts. To scan fewer
+    pages, hand in fewer: lay the table out by host or date and filter it.
     """
-    wanted = inventory.select(F.col("routeable_url").alias(url)).distinct()
-    fetched = pages.select(url, html)
-    if wanted.limit(max_broadcast + 1).count() <= max_broadcast:
-        fetched = fetched.join(F.broadcast(wanted), url, "left_semi")
-    return scan_records(inventory, scan_pages(fetched, html), as_of, url)
+    fetched = pages.select(url, html, *([fetched_at] if fetched_at else []))
+    scanned = scan_pages(fetched, html)
+    return scan_records(inventory, scanned, as_of, url, failures, fetched_at)
 
 
 def join_results(
@@ -51,18 +47,23 @@ def join_results(
     days: int = RECORD_RETENTION_DAYS,
     upsert: bool = False,
     one_per_file: bool = True,
+    unreadable_path: str | None = None,
 ) -> DataFrame:
     """All stored records to one table, and their accessible share to the history.
 
-    Of several records under one key the one of the last scan, written last, counts.
+    Of several records under one key the one of the last scan, written last, counts. A record
+    whose date cannot be read is as old as its file; records dated after ``as_of`` are left for
+    a later run. Unreadable records go to ``unreadable_path``, where one is named.
     """
-    readable, _ = split_unreadable(read_record_files(spark, record_dir, one_per_file=one_per_file))
+    readable, unreadable = split_unreadable(read_record_files(spark, record_dir, one_per_file=one_per_file))
+    if unreadable_path:
+        unreadable.write.mode("overwrite").parquet(unreadable_path)
     records = retain(
         from_files(readable, ["written_at"]).withColumn(
-            "scan_date", F.coalesce("scan_date", as_of.cast("date"))
+            "scan_date", F.coalesce("scan_date", F.to_date("written_at"))
         ),
         "scan_date", as_of, days,
-    )
+    ).filter(F.col("scan_date") <= as_of.cast("date"))
     latest = latest_records(records, ["scan_date", "written_at"]).drop("written_at")
     write_records(latest, data_path)
     share = accessible_share(read_records(spark, data_path))

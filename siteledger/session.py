@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,16 +33,11 @@ def local_session(cores: int = 8, app: str = "siteledger", **conf: str) -> Spark
     return spark
 
 
-@functools.cache
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix="siteledger-")
-
-
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a machine-local folder: on a cluster the
-    executors would not see each other's files there.
+    Only a local session may do without: it takes a folder in its warehouse. On a cluster the
+    executors might not see each other's files there.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -52,7 +45,7 @@ def scratch_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_folder(context.applicationId)
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

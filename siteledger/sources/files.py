@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+_GLOB = re.compile(r"[\[\]{}*?\\]")  # a prefix is taken as it stands
 _SCHEMA = "path string, modificationTime timestamp, length bigint"
 
 
@@ -21,7 +23,7 @@ def list_files(
             files = (
                 spark.read.format("binaryFile")
                 .option("recursiveFileLookup", True)
-                .load(f"{root}/{prefix}*")
+                .load(f"{root}/{_GLOB.sub(r'\\\g<0>', prefix)}*")
                 .select("path", "modificationTime", "length")
             )
         except AnalysisException as e:

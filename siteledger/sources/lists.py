@@ -38,7 +38,7 @@ def _with_order(df: DataFrame, source_idx: int = 0) -> DataFrame:
 def read_registry(spark: SparkSession, path: str, suffixes: DataFrame) -> DataFrame:
     """The site registry, with host parts and row order. Other columns are ignored."""
     # Columns are found by name in the header, whatever their order in the file.
-    raw = _with_order(spark.read.csv(path, header=True, escape=QUOTE)).select(
+    raw = _with_order(spark.read.csv(path, header=True, escape=QUOTE, multiLine=True)).select(
         *[F.col(f"`{n}`") for n in schemas.REGISTRY.names], *ORDER
     )
     cleaned = raw.withColumn("Domain Name", clean_host_text(F.col("`Domain Name`")))
@@ -48,10 +48,11 @@ def read_registry(spark: SparkSession, path: str, suffixes: DataFrame) -> DataFr
 def _read_seed_list(spark: SparkSession, path: str, idx: int) -> DataFrame | None:
     first = T.StructType([T.StructField("site", T.StringType())])
     try:
-        reader = spark.read.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
-        return _with_order(reader.csv(path, schema=first, header=False, escape=QUOTE), idx)
+        return _with_order(spark.read.csv(path, schema=first, header=False, escape=QUOTE), idx)
     except AnalysisException as e:
-        # A list that cannot be read is skipped; the others are still read.
+        # A list that is not there is skipped whole; one that is damaged raises.
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         logger.warning("seed list %s is skipped: %s", path, e.getCondition())
         return None
 
@@ -102,7 +103,7 @@ def read_suffixes(spark: SparkSession, path: str, private: bool = False) -> Data
 
 def read_inventory(spark: SparkSession, path: str) -> DataFrame:
     """S3: the inventory by header name, in file order; blank lines are ignored."""
-    raw = _with_order(spark.read.csv(path, header=True, escape=QUOTE))
+    raw = _with_order(spark.read.csv(path, header=True, escape=QUOTE, multiLine=True))
     names = [n for n in schemas.INVENTORY.names if n in raw.columns]
     return raw.select(*[F.col(f"`{n}`") for n in names], *ORDER)
 

@@ -58,11 +58,13 @@ def write_record_files(records: DataFrame, path: str) -> None:
     """The stored form, one JSON record per line, in folders by owner.
 
     The folders are the first two parts of each record's ``key``; the rebalance keeps an
-    owner's records together and still gives a large owner several files.
+    owner's records together and still gives a large owner several files. A run adds its files
+    beside those of earlier ones; under each key the record written last counts, which
+    ``latest_records`` takes by scan date and ``written_at``.
     """
     files = to_files(records).withColumns(
         {"owner_agency": F.col("agency"), "owner_organization": F.col("organization")}
     )
     files.hint("rebalance", "owner_agency", "owner_organization").write.mode(
-        "overwrite"
+        "append"
     ).partitionBy("owner_agency", "owner_organization").json(path, ignoreNullFields=False)

@@ -110,10 +110,12 @@ def consume(
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        good = route_bad_messages(kept, dead_letter_path, batch_id)
-        rows = good if to_records is None else to_records(good)
-        upsert_latest(rows, table_path, batch_id, keys, ts, date)
-        kept.unpersist()
+        try:
+            good = route_bad_messages(kept, dead_letter_path, batch_id)
+            rows = good if to_records is None else to_records(good)
+            upsert_latest(rows, table_path, batch_id, keys, ts, date)
+        finally:
+            kept.unpersist()
 
     return run_available(stream, checkpoint, on_batch)
 

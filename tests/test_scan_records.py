@@ -94,15 +94,23 @@ PAGES = [
 ]
 
 
-@pytest.mark.parametrize("max_broadcast", [500_000, 0])
-def test_scan_sites(spark, max_broadcast):
+def test_scan_sites(spark):
     sites = spark.createDataFrame(SITES, schemas.INVENTORY)
     pages = spark.createDataFrame(PAGES, "url string, html string")
-    got = results.scan_sites(sites, pages, F.lit("2024-01-05"), max_broadcast=max_broadcast)
+    got = results.scan_sites(sites, pages, F.lit("2024-01-05"))
     assert got.schema.simpleString() == schemas.SCAN_RECORD.simpleString()
     assert rows(got, "domain", "subdomain", "number_of_errors", F.col("scan_date").cast("string")) == [
         ("a", "", 0, "2024-01-05"), ("a", "s", 2, "2024-01-05"),
     ]
+    twice = spark.createDataFrame(
+        [("https://a.gov", OK + "<img>", 2), ("https://a.gov/", OK, 1), ("https://a.gov/?x", OK, None)],
+        "url string, html string, at int",
+    )
+    newest = results.scan_sites(sites, twice, F.lit("2024-01-05"), fetched_at="at")
+    assert rows(newest, "domain", "number_of_errors") == [("a", 1)]
+    assert results.scan_sites(sites, twice, F.lit("2024-01-05")).count() == 1
+    left = results.scan_sites(sites, twice, F.lit("2024-01-05"), failures=True)
+    assert left.count() == sites.count() - 1
     failed = scan.scan_records(sites, scan.scan_pages(pages), F.lit("2024-01-05"), failures=True)
     assert sorted(r.domain for r in failed.collect()) == ["empty", "lost"]
 

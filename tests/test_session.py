@@ -8,7 +8,7 @@ from siteledger import session
 
 
 def fake(master, named=None):
-    conf = SimpleNamespace(get=lambda key, default: named)
+    conf = SimpleNamespace(get=lambda key, *_: named if "checkpoint" in key else "/warehouse")
     return SimpleNamespace(
         conf=conf, sparkContext=SimpleNamespace(master=master, applicationId=f"app-{master}")
     )
@@ -19,7 +19,7 @@ def test_scratch_root():
     with pytest.raises(ValueError):
         session.scratch_root(fake("yarn"))
     local = fake("local[2]")
-    assert session.scratch_root(local) == session.scratch_root(local)
+    assert session.scratch_root(local) == "/warehouse/_scratch"
 
 
 def test_materialize(spark):
