@@ -16,35 +16,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from siteledger.plans.queries import QUERIES
 from siteledger.session import local_session
 
-HEADLINE = (
-    "site_links",
-    "links",
-    "link_messages",
-    "unseen_links",
-    "crawl",
-    "crawl_tree",
-    "url_parts",
-    "resolve_urls",
-    "suffix_split",
-    "candidates",
-    "keep_first",
-    "keep_first_except",
-    "latest",
-    "routeable",
-    "inventory",
-    "rename",
-    "batches",
-    "messages",
-    "page_issues",
-    "rule_hits",
-    "scan_records",
-    "issue_count",
-    "share_by_owner",
-    "history",
-    "record_files",
-    "joined_results",
-    "stream_state",
-)
+#: All queries of the library itself, the crawls last.
+HEADLINE = sorted(QUERIES, key=lambda name: (name.startswith(("crawl", "site_map")), name))
 
 
 def main() -> None:
@@ -53,7 +26,7 @@ def main() -> None:
     spark = local_session(
         cores, "bench", **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-")}
     )
-    spark.range(1000).selectExpr("sum(id)").collect()
+    QUERIES["site_links"](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
     seconds = {}
     for name in HEADLINE:
         start = time.perf_counter()
