@@ -21,7 +21,7 @@ from siteledger.plans import inventory as inventory_plan, results
 from siteledger.plans.dispatch import dispatch
 from siteledger.plans.site_map import map_links
 from siteledger.session import materialize, scratch_path
-from siteledger.sources import files, history as history_io, lists, messages as message_io
+from siteledger.sources import history as history_io, lists, messages as message_io
 from siteledger.sources import records as record_io
 from siteledger.streaming import events as stream_events, state
 
@@ -1137,10 +1137,8 @@ def stored_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_regionkey").cast("string").alias("agency"),
         F.col("n_name").alias("domain"),
     ).write.partitionBy("owner").json(path)
-    listed = files.list_files(spark, path, ["owner=r0", "owner=r1", "owner=r3"], ".json")
-    folders = listed.select(F.regexp_replace("path", "/[^/]*$", "")).distinct()
     stored = record_io.read_record_files(
-        spark, [r[0] for r in folders.collect()], one_per_file=False  # one row per prefix
+        spark, path, one_per_file=False, prefixes=["owner=r0", "owner=r1", "owner=r3"]
     )
     return stored.groupBy(F.col("agency").cast("int").alias("region")).agg(
         F.count("*").alias("n_records")

@@ -12,6 +12,11 @@ _GLOB = re.compile(r"[\[\]{}*?\\]")  # a prefix is taken as it stands
 _SCHEMA = "path string, modificationTime timestamp, length bigint"
 
 
+def prefix_path(root: str, prefix: str) -> str:
+    """The path pattern of everything below ``root`` whose key starts with ``prefix``."""
+    return f"{root}/{_GLOB.sub(r'\\\g<0>', prefix)}*"
+
+
 def list_files(
     spark: SparkSession, root: str, prefixes: str | Sequence[str] = "", suffix: str = ""
 ) -> DataFrame:
@@ -23,7 +28,7 @@ def list_files(
             files = (
                 spark.read.format("binaryFile")
                 .option("recursiveFileLookup", True)
-                .load(f"{root}/{_GLOB.sub(r'\\\g<0>', prefix)}*")
+                .load(prefix_path(root, prefix))
                 .select("path", "modificationTime", "length")
             )
         except AnalysisException as e:

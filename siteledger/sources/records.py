@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from siteledger import schemas
 from siteledger.operators.records import to_files
+from siteledger.sources.files import prefix_path
 
 
 def read_record_files(
@@ -15,18 +18,31 @@ def read_record_files(
     paths: str | Sequence[str],
     suffix: str = ".json",
     one_per_file: bool = True,
+    prefixes: Sequence[str] | None = None,
 ) -> DataFrame:
     """Stored records below one or several folders, as text columns.
 
     Files are listed recursively and matched by the end of their name; each is read by a
     task, and none is collected. ``one_per_file`` reads a file as one JSON document,
-    otherwise as one record per line. ``written_at`` is the time of the file.
+    otherwise as one record per line. ``written_at`` is the time of the file. ``prefixes``
+    names the starts of the keys to read; those that no file has are left out.
     """
     fields = T.StructType([*schemas.SCAN_FILE, T.StructField(schemas.CORRUPT, T.StringType())])
+    roots = [paths] if isinstance(paths, str) else list(paths)
+    if prefixes is not None:
+        found = []
+        for path in (prefix_path(root, p) for root in roots for p in prefixes):
+            try:
+                found.append(read_record_files(spark, path, suffix, one_per_file))
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
+        none = spark.createDataFrame([], T.StructType([*fields, T.StructField("written_at", T.TimestampType())]))
+        return reduce(DataFrame.unionAll, found) if found else none
     return (
         spark.read.schema(fields)
         .json(
-            [paths] if isinstance(paths, str) else list(paths),
+            roots,
             multiLine=one_per_file,
             mode="PERMISSIVE",
             columnNameOfCorruptRecord=schemas.CORRUPT,
