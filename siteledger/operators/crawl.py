@@ -14,7 +14,7 @@ from siteledger.operators.links import (
     has_ignored_extension,
     page_links,
 )
-from siteledger.session import materialize, scratch_path
+from siteledger.session import bucketed, materialize, scratch_path
 
 MAX_SLASHES = 5
 
@@ -59,8 +59,12 @@ def crawl(
     Breadth first over all seeds at once. Links are read from the page source one time;
     each round joins the new pages of the round before with that link table, drops links
     seen before, and writes the rest to the shared folder. Written rounds end the lineage,
-    survive lost executors and carry their true size, so a small frontier is broadcast and
-    a large one is joined by a shuffle whose hot pages adaptive execution splits.
+    survive lost executors and carry their true size, so a small frontier is broadcast.
+
+    The link table is bucketed by page and stays where it is: a round takes its distinct pages
+    to the buckets, and only their links move on to the frontier, in a join whose hot pages
+    adaptive execution splits. Buckets need an entry in the session's catalog; it is dropped
+    in the end.
 
     ``netloc`` (the text an in-site link contains) and ``allowed_host`` (followed links lie
     on it or below it) are columns of ``seeds``; both default to the seed's own.
@@ -69,23 +73,20 @@ def crawl(
     root = scratch_path(spark, "crawl")
     own = netloc_of(F.col(f"`{seed}`"))
 
-    graph = materialize(
-        page_links(
-            pages.select(F.col(f"`{url}`").alias("_page"), F.col(f"`{html}`").alias("_html")),
-            "_page", "_html", unwanted=unwanted, extensions=extensions, **options,
-        ).select(
-            page_key(F.col("_page")).alias("page"),
-            F.array_distinct(
-                F.transform(
-                    "links",
-                    lambda link: F.struct(
-                        link["url"].alias("url"),
-                        may_follow(link["raw"], unwanted, extensions).alias("follow"),
-                    ),
-                )
-            ).alias("links"),
-        ),
-        f"{root}/graph",
+    graph = page_links(
+        pages.select(F.col(f"`{url}`").alias("_page"), F.col(f"`{html}`").alias("_html")),
+        "_page", "_html", unwanted=unwanted, extensions=extensions, **options,
+    ).select(
+        page_key(F.col("_page")).alias("page"),
+        F.array_distinct(
+            F.transform(
+                "links",
+                lambda link: F.struct(
+                    link["url"].alias("url"),
+                    may_follow(link["raw"], unwanted, extensions).alias("follow"),
+                ),
+            )
+        ).alias("links"),
     )
     frontier = materialize(
         seeds.select(
@@ -98,37 +99,40 @@ def crawl(
     )
     rounds: list[str] = []
     depth = 0
-    while max_depth is None or depth < max_depth:
-        depth += 1
-        follow = F.col("link.follow") & on_host(F.col("link.url"), F.col("host"))
-        found = (
-            frontier.filter("follow")
-            .select("seed_url", "netloc", "host", page_key(F.col("url")).alias("page"))
-            .join(graph, "page")
-            .select("seed_url", "netloc", "host", F.explode("links").alias("link"))
-            .filter(F.contains(F.col("link.url"), F.col("netloc")))
-            .withColumn("follow", follow & (F.col("link.url") != clean_url(F.col("seed_url"))))
-            .groupBy("seed_url", "netloc", "host", F.col("link.url").alias("url"))
-            .agg(F.max("follow").alias("follow"))
-        )
-        if rounds:
-            # A link first seen in a form that is not followed may come back in one that is.
-            # Rounds never repeat such a row, so the seen set needs no distinct.
-            seen = spark.read.schema(frontier.schema).parquet(*rounds)
-            keys = ["seed_url", "url", "follow"]
-            found = found.join(seen.select(*keys), keys, "left_anti")
-        # The depth is in the folder name only: every round then runs the same compiled code.
-        path = f"{root}/rounds/depth={depth}"
-        written = Observation()
-        frontier = materialize(
-            found.select(*frontier.columns).observe(
-                written, F.count_if("follow").alias("to_follow")
-            ),
-            path,
-        )
-        rounds.append(path)
-        if not written.get["to_follow"]:
-            break
+    with bucketed(graph, f"{root}/graph", "page") as linked:
+        while max_depth is None or depth < max_depth:
+            depth += 1
+            follow = F.col("link.follow") & on_host(F.col("link.url"), F.col("host"))
+            to_read = frontier.filter("follow").select(
+                "seed_url", "netloc", "host", page_key(F.col("url")).alias("page")
+            )
+            reached = linked.join(to_read.select("page").distinct(), "page", "left_semi")
+            found = (
+                to_read.join(reached, "page")
+                .select("seed_url", "netloc", "host", F.explode("links").alias("link"))
+                .filter(F.contains(F.col("link.url"), F.col("netloc")))
+                .withColumn("follow", follow & (F.col("link.url") != clean_url(F.col("seed_url"))))
+                .groupBy("seed_url", "netloc", "host", F.col("link.url").alias("url"))
+                .agg(F.max("follow").alias("follow"))
+            )
+            if rounds:
+                # A link first seen in a form that is not followed may come back in one that is.
+                # Rounds never repeat such a row, so the seen set needs no distinct.
+                seen = spark.read.schema(frontier.schema).parquet(*rounds)
+                keys = ["seed_url", "url", "follow"]
+                found = found.join(seen.select(*keys), keys, "left_anti")
+            # The depth is in the folder name only: every round then runs the same compiled code.
+            path = f"{root}/rounds/depth={depth}"
+            written = Observation()
+            frontier = materialize(
+                found.select(*frontier.columns).observe(
+                    written, F.count_if("follow").alias("to_follow")
+                ),
+                path,
+            )
+            rounds.append(path)
+            if not written.get["to_follow"]:
+                break
 
     first = 0 if emit_seed else 1
     return (

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,3 +63,20 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def bucketed(df: DataFrame, path: str, key: str) -> Iterator[DataFrame]:
+    """``df`` written to ``path`` in one file per bucket of ``key``, for as long as it is joined.
+
+    Joins on ``key`` leave the table where it is. Only the catalog knows of buckets, so it gets
+    an entry of an unused name that goes in the end.
+    """
+    spark, name = df.sparkSession, f"siteledger_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.repartition(n, key).write.format("parquet").option("path", path)
+    try:
+        writer.bucketBy(n, key).saveAsTable(name)
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from siteledger.operators import crawl as crawl_op, links
 from siteledger.plans.site_map import map_links
+from siteledger.session import bucketed
 from tests.conftest import rows
 
 H = "https://www.foo.gov"
@@ -146,3 +147,20 @@ def test_map_links(spark):
         "Agency": "Ag", "Organization": "", "domain": "foo", "subdomain": "", "tld": "gov",
         "routeable_url": f"{H}/a/b/c/d", "db_id": "Ag++foo++a/b/c/d",
     }
+
+
+def test_bucketed_links_are_not_shuffled(spark, tmp_path):
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    tables = len(spark.catalog.listTables())
+    links_by_page = spark.range(500).selectExpr("concat('p', id) AS page", "id")
+    wanted = spark.range(3000).selectExpr("concat('p', id % 400) AS page")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with bucketed(links_by_page, str(tmp_path / "graph"), "page") as linked:
+            found = linked.join(wanted.distinct(), "page", "left_semi")
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == 1  # of the pages asked for
+            assert found.count() == 400
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert len(spark.catalog.listTables()) == tables
