@@ -16,6 +16,7 @@ from siteledger.plans.queries import (
     _BEST,
     _HOSTS_SQL,
     _LADDER,
+    _STREAM_SCHEMA,
     ORACLES,  # noqa: F401  both dictionaries hold the queries of either module
     QUERIES,  # noqa: F401
     _hosts,
@@ -25,6 +26,7 @@ from siteledger.plans.queries import (
 )
 from siteledger.session import scratch_path
 from siteledger.sources import files, lists, records as record_io
+from siteledger.streaming import events as stream_events, state
 
 
 def _filled(template: str) -> Column:
@@ -412,3 +414,39 @@ def seed_lists_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).write.csv(path, header=True)
     rows = lists.read_seed_sites(spark, [path], hosts.default_suffixes(spark), compat=True)
     return rows.select("site")
+
+
+# --- streams ------------------------------------------------------------------------------
+
+
+@query(
+    "stream_compacted",
+    """SELECT event_type AS agency, 'user' || user_id AS domain, max(event_id) AS seq,
+  arg_max(CAST(ts AS DATE), event_id) AS scan_date
+FROM events GROUP BY 1, 2""",
+)
+def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last message per key over three micro-batches, their state compacted after the first and
+    the third (T1, T3)."""
+    n = F.col("event_id")
+    body = F.to_json(F.struct(
+        F.col("event_type").alias("agency"), F.concat(F.lit("user"), "user_id").alias("domain"),
+        n.alias("seq"), F.to_date("ts").alias("scan_date"),
+    ))
+    record = F.struct(n.cast("string").alias("messageId"), body.alias("body"))
+    arrivals, target = scratch_path(spark, "arrivals"), scratch_path(spark, "state")
+    dead, checkpoint = scratch_path(spark, "dead"), scratch_path(spark, "checkpoint")
+    keys = ["agency", "domain"]
+    for part in (1, 2, 0):
+        table(spark, sf_dir, "events").filter(n % 3 == part).select(
+            F.to_json(F.struct(F.array(record).alias("Records")))
+        ).write.mode("append").text(arrivals)
+        stream = stream_events.stream_events(spark, arrivals, _STREAM_SCHEMA, one_per_file=False)
+        state.consume(stream, target, dead, checkpoint, keys, "seq")
+        if part != 2:
+            state.compact_in_place(
+                spark, target, _STREAM_SCHEMA, keys, "seq", upto=0 if part == 1 else None
+            )
+    return state.read_latest(spark, target, _STREAM_SCHEMA, keys, "seq").select(
+        *_STREAM_SCHEMA.names
+    )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
@@ -50,16 +51,81 @@ def read_latest(
 ) -> DataFrame:
     """Current state of a table written by ``upsert_latest``.
 
-    With ``as_of`` only dates still retained are read; their folders are pruned.
+    With ``as_of`` only dates still retained are read; their folders are pruned. Batches that
+    ``compact_in_place`` has put together are read from there.
     """
-    rows = spark.read.schema(schema).option("basePath", table_path).parquet(
-        f"{table_path}/batch=*"
-    )
+    rows = _batches(spark, table_path, schema)
+    upto = _compacted_upto(spark, table_path)
+    if upto is not None:
+        rows = rows.filter(F.col("batch") > upto).select(*schema.names).unionByName(
+            spark.read.schema(schema).parquet(_compacted(table_path, upto)).select(*schema.names)
+        )
     if as_of is not None:
         rows = retain(rows, date, as_of, days)
     return latest_per_key(rows.select(*schema.names), keys, ts)
 
 
+def _batches(spark: SparkSession, table_path: str, schema: T.StructType) -> DataFrame:
+    with_batch = T.StructType([*schema, T.StructField("batch", T.LongType())])
+    return spark.read.schema(with_batch).option("basePath", table_path).parquet(
+        f"{table_path}/batch=*"
+    )
+
+
+def _compacted(table_path: str, upto: int) -> str:
+    return f"{table_path}/compacted/upto={upto}"
+
+
+def _compacted_upto(spark: SparkSession, table_path: str) -> int | None:
+    """The last batch of the newest complete compaction; None without one."""
+    try:
+        versions = spark.read.schema("upto bigint").json(f"{table_path}/versions")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return versions.agg(F.max("upto")).first()[0]
+
+
+def compact_in_place(
+    spark: SparkSession,
+    table_path: str,
+    schema: T.StructType,
+    keys: Sequence[str] = RECORD_KEYS,
+    ts: str | Sequence[str] = "scan_ts",
+    date: str = "scan_date",
+    upto: int | None = None,
+    **retention,
+) -> int | None:
+    """Put the batches up to ``upto`` together, while further ones may arrive; returns ``upto``.
+
+    By default all batches but the newest, which may still be written or run again. Their state is
+    written beside them, and only then a version names it: readers see either all of it or none,
+    and a compaction that failed is written anew. Batches named by a version are not read
+    any more and may be deleted once no reader is left that began before it.
+    """
+    rows = _batches(spark, table_path, schema)
+    if upto is None:
+        newest = rows.agg(F.max("batch")).first()[0]
+        upto = -1 if newest is None else newest - 1
+    before = _compacted_upto(spark, table_path)
+    if upto <= (-1 if before is None else before):
+        return before
+    rows = rows.filter(F.col("batch") <= upto)
+    if before is not None:
+        old = spark.read.schema(schema).parquet(_compacted(table_path, before))
+        rows = rows.filter(F.col("batch") > before).select(*schema.names).unionByName(old)
+    if retention:
+        rows = retain(rows, date, **retention)
+    latest_per_key(rows.select(*schema.names), keys, ts).hint("rebalance", date).write.mode(
+        "overwrite"
+    ).partitionBy(date).parquet(_compacted(table_path, upto))
+    spark.range(1).select(F.lit(upto).alias("upto")).write.mode("append").json(
+        f"{table_path}/versions"
+    )
+    return upto
+
+
 def compact(
     spark: SparkSession,
     table_path: str,

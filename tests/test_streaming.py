@@ -105,3 +105,29 @@ def test_snapshot_retention_and_compaction(spark, tmp_path):
     after = state.read_latest(spark, str(tmp_path / "new"), MESSAGE, KEYS)
     assert rows(after, "domain") == [("b",), ("c",)]
     assert accessible_share(after).first().n_records == 2
+
+
+def test_compaction_while_messages_arrive(spark, tmp_path):
+    path = str(tmp_path / "state")
+
+    def compact(**kw):
+        return state.compact_in_place(spark, path, MESSAGE, KEYS, **kw)
+
+    for i in range(3):
+        put(tmp_path, f"{i}.json", event(message("a", i, 1 + i), message(f"d{i}", 0, 2)))
+        run(spark, tmp_path)
+    before = rows(current(spark, tmp_path), "domain", "number_of_errors")
+    assert before == [("a", 2), ("d0", 0), ("d1", 0), ("d2", 0)]
+    assert compact() == 1  # the newest batch is left
+    assert rows(current(spark, tmp_path), "domain", "number_of_errors") == before
+    assert compact() == 1  # nothing new
+    # a compaction that did not come to its version is not read
+    spark.createDataFrame([("A", "z", 1, "2024-01-09", None)], MESSAGE).write.parquet(f"{path}/compacted/upto=2")
+    assert rows(current(spark, tmp_path), "domain", "number_of_errors") == before
+    put(tmp_path, "3.json", event(message("a", 7, 9), message("d0", 5, 1)))
+    run(spark, tmp_path)
+    assert compact() == 2
+    after = [("a", 7), ("d0", 0), ("d1", 0), ("d2", 0)]
+    assert rows(current(spark, tmp_path), "domain", "number_of_errors") == after
+    assert compact(upto=3, as_of=F.lit("2024-01-12"), days=5) == 3
+    assert rows(current(spark, tmp_path), "domain", "number_of_errors") == [("a", 7)]
