@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from siteledger import schemas
 from siteledger.functions import urls as url_fn
-from siteledger.operators import crawl as crawl_op, hosts, links, records, routes, scan
+from siteledger.operators import crawl as crawl_op, hosts, links, records, rename, routes, scan
+from siteledger.operators.rename import AgencyRule
 from siteledger.plans import results
+from siteledger.plans.owner_rules import OWNER_RULES
 from siteledger.plans.queries import (
     _BEST,
     _HOSTS_SQL,
@@ -343,6 +345,80 @@ def store_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- owner names --------------------------------------------------------------------------
+
+
+def _owner_pairs() -> list[tuple[str, str]]:
+    """Owner names that meet every condition of every rule, and some that meet none."""
+    pairs = [("Unlisted agency", "Unlisted office")]
+    for rule in OWNER_RULES:
+        agencies = [rule.agency, f"The {rule.agency} (old)"]
+        orgs = ["Unlisted office", rule.agency, rule.agency.upper()]
+        for org in rule.orgs:
+            orgs += [f"x {t} y" for t in org.has] + list(org.equal)
+            orgs += [f"{t} {org.lacks}" for t in org.has if org.lacks]
+        pairs += [(a, o) for a in agencies for o in orgs]
+    return pairs
+
+
+def _rule_sql(rule: AgencyRule) -> tuple[str, str, str]:
+    """SQL for whether the rule applies, and the two names it gives."""
+    def text(v):
+        return "'" + v.replace("'", "''") + "'"
+
+    def cases(found: list[tuple[str, str]], other: str) -> str:
+        whens = " ".join(f"WHEN {test} THEN {value}" for test, value in found)
+        return f"CASE {whens} ELSE {other} END" if found else other
+
+    agency = text(rule.agency_to) if rule.agency_to else "a"
+    agencies, orgs = [], []
+    for org in rule.orgs:
+        tests = [f"contains(o, {text(t)})" for t in org.has] + [f"o = {text(t)}" for t in org.equal]
+        test = f"({' OR '.join(tests) or 'true'})"
+        test += f" AND NOT contains(o, {text(org.lacks)})" if org.lacks else ""
+        name = text(org.to) if org.to else "o"
+        if org.title:
+            name = (
+                f"array_to_string(list_transform(regexp_extract_all(lower({name}), "
+                "'[a-z]+|[^a-z]+'), lambda p: upper(p[1]) || p[2:]), '')"
+            )
+        agencies.append((test, text(org.agency_to) if org.agency_to else agency))
+        orgs.append((test, name))
+    applies = f"contains(a, {text(rule.agency)})" if rule.contains else f"a = {text(rule.agency)}"
+    return applies, cases(agencies, agency), cases(orgs, "o")
+
+
+def _owners_sql() -> str:
+    rules = [_rule_sql(r) for r in OWNER_RULES]
+    pairs = _owner_pairs()
+    agencies = " ".join(f"WHEN {test} THEN {name}" for test, name, _ in rules)
+    orgs = " ".join(f"WHEN {test} THEN {name}" for test, _, name in rules)
+    return f"""WITH p(i, a, o) AS (SELECT CAST(i AS INTEGER), a, o FROM (VALUES {_values(
+        [(str(i), *pair) for i, pair in enumerate(pairs)])}) v(i, a, o)),
+r AS (SELECT a, o, count(*) AS n FROM orders JOIN p ON i = o_orderkey % {len(pairs)} GROUP BY 1, 2)
+SELECT a AS was_agency, o AS was_organization, n,
+  CASE {agencies} ELSE a END AS agency, CASE {orgs} ELSE o END AS organization FROM r"""
+
+
+@query("owner_rules", _owners_sql())
+def owner_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole table of owner names, a pair of names per order that meets or misses each of its
+    conditions (P9, P10, P22)."""
+    pairs = F.array(*[
+        F.struct(F.lit(a).alias("was_agency"), F.lit(o).alias("was_organization"))
+        for a, o in _owner_pairs()
+    ])
+    i = (F.col("o_orderkey") % len(_owner_pairs())).cast("int")
+    owners = table(spark, sf_dir, "orders").select(F.get(pairs, i).alias("pair")).groupBy(
+        "pair.was_agency", "pair.was_organization"
+    ).agg(F.count("*").alias("n"))
+    padded = owners.withColumns({
+        "agency": F.concat(F.lit(" "), "was_agency", F.lit(" ")),
+        "organization": F.concat(F.lit("  "), "was_organization"),
+    })
+    return rename.rename_by_rules(padded, "agency", "organization", OWNER_RULES)
+
+
 # --- files --------------------------------------------------------------------------------
 
 
