@@ -122,6 +122,11 @@ def _spread(least: np.ndarray, span: int, n: int) -> np.ndarray:
     return out[:n]
 
 
+def _first_least(hashes: np.ndarray, span: int) -> np.ndarray:
+    """For each run of ``span`` grams, the place of its smallest; of equal ones, the first."""
+    return np.lib.stride_tricks.sliding_window_view(hashes, span).argmin(axis=1) + np.arange(len(hashes) - span + 1)
+
+
 def _words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split()  # ASCII white space only
 
@@ -204,15 +209,18 @@ def repeated_windows(rows: DataFrame, window: int, automaton_pieces: int = AUTOM
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
             for doc, dig, pos, key, begin, data in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "dig", "pos", "anchor", "begin", "piece")), strict=True):
-                hashes = gram_hashes(_codes.of(data.split()), window, _AROUND).view(np.int64)
-                places = np.arange(len(hashes)) + begin - (pos - reach)
+                codes = _codes.of(data.split())
+                # each window once: where its first smallest gram is this anchor, as in every window equal to it
+                own = _first_least(gram_hashes(codes, gram, _BY), span) == pos - begin
+                hashes = gram_hashes(codes, window, _AROUND)[own].view(np.int64)
+                places = np.flatnonzero(own) + begin - (pos - reach)
                 for column, values in zip(out, (np.full(len(hashes), doc), np.full(len(hashes), dig), np.full(len(hashes), pos), np.full(len(hashes), key), places, hashes), strict=True):
                     column.append(values)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else [], t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()), strict=True)], ["doc_id", "dig", "pos", "anchor", "place", "hash"])
 
     many = cuts.where(F.col("pieces") > automaton_pieces).select("doc_id", "dig", "pos", "anchor", "begin", "piece")
     windows = many.mapInArrow(explode, _ROW + ", pos int, anchor bigint, place int, hash bigint")
-    firsts = windows.groupBy("anchor", "hash").agg(F.min("doc_id").alias("first"))
+    firsts = windows.groupBy("anchor", "hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
     late = windows.join(firsts, ["anchor", "hash"]).where("doc_id > first")
     late = late.groupBy("doc_id", "dig", "pos").agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("starts"))
 

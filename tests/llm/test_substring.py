@@ -6,7 +6,7 @@ import pytest
 
 from siteledger.llm.common import gram_hashes, read_table
 from siteledger.llm.queries import QUERIES
-from siteledger.llm.substring import SuffixAutomaton, _anchors, deduplicated, remove_repeats
+from siteledger.llm.substring import SuffixAutomaton, _anchors, _first_least, deduplicated, remove_repeats
 from tests.llm.helpers import awkward_documents, empty_documents, words
 
 
@@ -68,12 +68,14 @@ def test_every_window_has_its_smallest_gram_as_anchor():
     grams = gram_hashes(codes, 6, 0x9E3779B97F4A7C15)
     assert (grams[at] == hashes).all()
     chosen = set(at.tolist())
+    first = _first_least(grams, 7)
+    assert len(first) == len(codes) - 12 + 1
     for i in range(len(codes) - 12 + 1):
         run = grams[i : i + 7]
-        assert i + int(run.argmin()) in chosen
+        assert i + int(run.argmin()) == first[i] and first[i] in chosen
 
 
-@pytest.mark.parametrize(("window", "pieces"), [(10, 2000), (10, 2), (7, 5), (50, 2000)])
+@pytest.mark.parametrize(("window", "pieces"), [(10, 2000), (10, 2), (10, 0), (7, 5), (1, 0), (50, 2000)])
 def test_scrambled_texts(spark, window, pieces):
     docs = scrambled()
     expected = plain(docs, window)
