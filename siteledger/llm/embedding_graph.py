@@ -17,6 +17,8 @@ from siteledger.llm.vectors import finite, kmeans, sample_matrix
 SAMPLE, SHARD, MOST_SHARDS = 16_384, 1_000, 4_096
 #: Queries that a task searches for, and the vectors whose links the audit counts by brute force.
 QUERIES, AUDIT = 2_048, 256
+#: Bytes of vectors in a block of the exact comparison, and the fewest blocks.
+BLOCK_BYTES, LEAST_BLOCKS = 32 << 20, 8
 #: Graph degree, nearest and random candidates, and the slack of the pruning rule.
 DEGREE, NEAR, RANDOM, ALPHA = 24, 48, 16, 1.2
 #: How far below the threshold a node may be for the search to expand through it.
@@ -110,8 +112,10 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.95, overlap: int = 2,
     per class and shard brings its number of links and the smallest class it is connected to there.
 
     A shard of more than ``QUERIES`` classes is searched by several tasks, each for its share of
-    the queries. The audit counts the links of ``AUDIT`` classes against all others; while less
-    than ``recall`` is found, all is done again with twice the overlap, up to eight shards a class.
+    the queries. The audit counts the links of ``AUDIT`` classes against all others after every
+    round; while less than ``recall`` is found, all is done again with twice the overlap. Where that
+    would compare as many pairs as there are, all classes are compared block by block instead, and
+    every link is found.
 
     Null, zero and non-finite vectors link with nothing. Rows with a null id are vectors like any
     other, but name no component. Repeated rows are vectors of their own. Shorter vectors read as
@@ -129,9 +133,12 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.95, overlap: int = 2,
     if count:
         while True:
             found = _search(classes, count, width, threshold, overlap)
-            if overlap >= 8 or _audit(classes, found, width, threshold) >= recall:
+            if _audit(classes, found, width, threshold) >= recall:
                 break
             overlap *= 2
+            if 2 * overlap * overlap >= _shards(count):
+                found = _compare(classes, count, width, threshold)
+                break
         groups = components(found.select(F.col("node").alias("src"), F.col("root").alias("dst")))
         linked = classes.select("k1", "k2", "node", "first", "weight").join(found.groupBy("node").agg(F.sum("links").alias("links")), "node", "left").join(groups, "node", "left")
         linked = linked.withColumn("component", F.coalesce("component", "node"))
@@ -153,8 +160,12 @@ def _unit(values, width: int) -> np.ndarray:
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
 
+def _shards(count: int) -> int:
+    return min(MOST_SHARDS, max(1, -(-count // SHARD)))
+
+
 def _search(classes: DataFrame, count: int, width: int, threshold: float, overlap: int) -> DataFrame:
-    shards = min(MOST_SHARDS, max(1, -(-count // SHARD)))
+    shards = _shards(count)
     sample = sample_matrix(classes, "v", width, SAMPLE)
     centres = kmeans(_unit(sample, width), shards)
     centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
@@ -221,6 +232,57 @@ def _search(classes: DataFrame, count: int, width: int, threshold: float, overla
     return saved(ready.groupBy("shard", "part").applyInPandas(search, "node bigint, links bigint, root bigint"), "found")
 
 
+def _compare(classes: DataFrame, count: int, width: int, threshold: float) -> DataFrame:
+    """What ``_search`` returns, by comparing every class with every other: a task for each two blocks of classes.
+
+    Blocks are dealt by hash and hold about ``BLOCK_BYTES``, so a task is bounded whatever the
+    groups; each block goes to as many tasks as there are blocks.
+    """
+    blocks = max(LEAST_BLOCKS, -(-count * width * 8 // BLOCK_BYTES))
+
+    def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = _unit(batch.column("v").to_pylist(), width)
+                yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("weight"), pa.array([v.tobytes() for v in x], pa.binary())], ["node", "weight", "x"])
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        one, two = int(pdf["one"].iloc[0]), int(pdf["two"].iloc[0])
+        pdf = pdf.sort_values(["block", "node"], ignore_index=True)
+        x, node, weight = np.frombuffer(b"".join(pdf["x"]), dtype=float).reshape(-1, width), pdf["node"].to_numpy(), pdf["weight"].to_numpy()
+        n, cut = len(pdf), int((pdf["block"] == one).sum())
+        after = 0 if one == two else cut
+        total, label, held = np.zeros(n, dtype=np.int64), np.arange(n), {k: [k] for k in range(n)}
+        for at in range(0, cut, 64):
+            near = x[at : min(at + 64, cut)] @ x[after:].T >= threshold
+            for a, line in enumerate(near, at):
+                if one == two:
+                    line[a] = False
+                b = np.flatnonzero(line) + after
+                if not len(b):
+                    continue
+                total[a] += weight[b].sum()
+                if one != two:
+                    total[b] += weight[a]
+                if (label[b] != label[a]).any():
+                    groups = np.unique(np.append(label[b], label[a])).tolist()
+                    into = max(groups, key=lambda g: len(held[g]))
+                    for g in groups:
+                        if g != into:
+                            label[held[g]] = into
+                            held[into] += held.pop(g)
+        root = np.empty(n, dtype=np.int64)
+        for members in held.values():
+            root[members] = node[members].min()
+        some = total > 0
+        return pd.DataFrame({"node": node[some], "links": total[some], "root": root[some]})
+
+    rows = classes.select("node", "weight", "v").mapInArrow(units, "node bigint, weight bigint, x binary")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), F.lit(blocks)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    rows = rows.select(F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "node", "weight", "x")
+    return saved(rows.groupBy("one", "two").applyInPandas(compare, "node bigint, links bigint, root bigint"), "found")
+
+
 def _local_links(near: pd.Series, node: np.ndarray) -> np.ndarray:
     """The united lists as numbers of the shard's own rows, a line each, filled up with -1."""
     lengths = near.map(len).to_numpy()

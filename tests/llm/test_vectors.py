@@ -102,6 +102,21 @@ def test_links_in_many_shards(spark, monkeypatch, most):
     check_links(link_vectors(frame(spark, x)).collect(), x, list(range(len(x))), 0.97)
 
 
+def test_a_group_cut_into_many_shards_keeps_its_links(spark, monkeypatch):
+    """Eight shards a class are not enough here."""
+    monkeypatch.setattr(embedding_graph, "SHARD", 10)
+    draw = np.random.default_rng(8)
+    x = draw.normal(size=(1500, 16)).astype(np.float32)
+    x[:1000] = x[0] + draw.normal(size=(1000, 16)) * 0.12
+    check_links(link_vectors(frame(spark, x)).collect(), x, list(range(len(x))))
+
+
+def test_comparison_of_blocks_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(embedding_graph, "_audit", lambda *_: 0.0)
+    x = clustered(600)
+    check_links(link_vectors(frame(spark, x)).collect(), x, list(range(len(x))), 1.0)
+
+
 def test_links_of_awkward_rows(spark):
     vectors = awkward_vectors(spark)
     got = link_vectors(vectors).collect()
