@@ -15,8 +15,10 @@ from siteledger.llm.vectors import finite, kmeans, sample_matrix
 
 #: Vectors of the sample that centroids are fitted on, vectors to a shard on average, and the most centroids.
 SAMPLE, SHARD, MOST_SHARDS = 16_384, 1_000, 4_096
-#: Queries that a task searches for, and the vectors whose links the audit counts by brute force.
+#: Queries that a task searches for, and the vectors that the audit first draws and counts the links of by brute force.
 QUERIES, AUDIT = 2_048, 256
+#: Linked vectors that the audit must see, the most near ones that count as few, and the most vectors drawn at a time.
+LINKED, FEW, MOST_DRAWN = 256, 64, 4_096
 #: Bytes of vectors in a block of the exact comparison, and the fewest blocks.
 BLOCK_BYTES, LEAST_BLOCKS = 32 << 20, 8
 #: Graph degree, nearest and random candidates, and the slack of the pruning rule.
@@ -112,10 +114,11 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.95, overlap: int = 2,
     per class and shard brings its number of links and the smallest class it is connected to there.
 
     A shard of more than ``QUERIES`` classes is searched by several tasks, each for its share of
-    the queries. The audit counts the links of ``AUDIT`` classes against all others after every
-    round; while less than ``recall`` is found, all is done again with twice the overlap. Where that
-    would compare as many pairs as there are, all classes are compared block by block instead, and
-    every link is found.
+    the queries. The audit draws classes and counts their links against all others until it has seen
+    ``LINKED`` that have few near ones; while less than ``recall`` of the links of those, or of those
+    with many, is found, all is done again with twice the overlap. Where that would compare as many
+    pairs as there are, or a quarter of a large table does not hold enough linked classes to measure
+    by, all classes are compared block by block instead, and every link is found.
 
     Null, zero and non-finite vectors link with nothing. Rows with a null id are vectors like any
     other, but name no component. Repeated rows are vectors of their own. Shorter vectors read as
@@ -131,14 +134,17 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.95, overlap: int = 2,
     classes = saved(classes.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
     count, width = classes.agg(F.count("*"), F.max(F.size("v"))).first()
     if count:
+        truth = _truth(classes, count, width, threshold)
         while True:
+            if truth is None:
+                found = _compare(classes, count, width, threshold)
+                break
             found = _search(classes, count, width, threshold, overlap)
-            if _audit(classes, found, width, threshold) >= recall:
+            if _audit(truth, found) >= recall:
                 break
             overlap *= 2
             if 2 * overlap * overlap >= _shards(count):
-                found = _compare(classes, count, width, threshold)
-                break
+                truth = None
         groups = components(found.select(F.col("node").alias("src"), F.col("root").alias("dst")))
         linked = classes.select("k1", "k2", "node", "first", "weight").join(found.groupBy("node").agg(F.sum("links").alias("links")), "node", "left").join(groups, "node", "left")
         linked = linked.withColumn("component", F.coalesce("component", "node"))
@@ -304,20 +310,50 @@ def _both_ways(links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(code // n, np.arange(n + 1)), code % n
 
 
-def _audit(classes: DataFrame, found: DataFrame, width: int, threshold: float) -> float:
-    """Links found over links there are, for ``AUDIT`` classes compared with all others."""
-    chosen = classes.select("node", "v", "weight").orderBy(F.xxhash64("node", F.lit(11))).limit(AUDIT).collect()
-    x, nodes = _unit([r.v for r in chosen], width), np.array([r.node for r in chosen])
+def _truth(classes: DataFrame, count: int, width: int, threshold: float) -> DataFrame | None:
+    """(node, near, true): classes and links near each class drawn that has any, by comparing it with all others.
+
+    Draws until ``LINKED`` classes of at most ``FEW`` near ones are seen, or all classes are drawn.
+    None where a quarter of a large table does not hold so many: too little to measure a share by.
+    """
+    place, low, size, parts = F.pmod(F.xxhash64("node", F.lit(11)), F.lit(count)), 0, AUDIT, []
+    seen = 0
+    while low < count and seen < LINKED:
+        if low >= max(MOST_DRAWN, count // 4):
+            return None
+        high = min(count, low + size)
+        drawn = classes.where((place >= low) & (place < high)).select("node", "v").collect()
+        low, size = high, min(2 * size, MOST_DRAWN)
+        if drawn:
+            part = saved(_near(classes, np.array([r.node for r in drawn]), _unit([r.v for r in drawn], width), width, threshold), "truth")
+            parts.append(part)
+            seen += part.where(F.col("near") <= FEW).count()
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _near(classes: DataFrame, nodes: np.ndarray, x: np.ndarray, width: int, threshold: float) -> DataFrame:
+    """(node, near, true) of the given classes that have any other within the threshold."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near, true = np.zeros(len(nodes), dtype=np.int64), np.zeros(len(nodes), dtype=np.int64)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            y, other = _unit(batch.column("v").to_pylist(), width), np.asarray(batch.column("node"))
-            near = (x @ y.T >= threshold) & (nodes[:, None] != other)
-            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array((near * np.asarray(batch.column("weight"))).sum(axis=1), pa.int64())], ["node", "true"])
+            for part in (batch.slice(at, 1024) for at in range(0, batch.num_rows, 1024)):
+                y, other, weight = _unit(part.column("v").to_pylist(), width), np.asarray(part.column("node")), np.asarray(part.column("weight"))
+                hit, at = np.nonzero((x @ y.T >= threshold) & (nodes[:, None] != other))
+                np.add.at(near, hit, 1)
+                np.add.at(true, hit, weight[at])
+        some = near > 0
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[some], pa.int64()), pa.array(near[some]), pa.array(true[some])], ["node", "near", "true"])
+
+    counted = classes.select("node", "v", "weight").mapInArrow(count, "node bigint, near bigint, true bigint")
+    return counted.groupBy("node").agg(F.sum("near").alias("near"), F.sum("true").alias("true"))
+
 
-    truth = classes.select("node", "v", "weight").mapInArrow(count, "node bigint, true bigint").groupBy("node").agg(F.sum("true").alias("true"))
+def _audit(truth: DataFrame, found: DataFrame) -> float:
+    """Links found over links there are, of the classes drawn: the smaller share of those with few near ones and those with many."""
     got = found.groupBy("node").agg(F.sum("links").alias("links"))
-    true, links = truth.join(got, "node", "left").agg(F.sum("true"), F.sum(F.least(F.coalesce("links", F.lit(0)), "true"))).first()
-    return 1.0 if not true else links / true
+    shares = truth.join(got, "node", "left").groupBy((F.col("near") <= FEW).alias("few")).agg(F.sum("true").alias("true"), F.sum(F.least(F.coalesce("links", F.lit(0)), "true")).alias("links"))
+    return min((r.links / r.true for r in shares.collect()), default=1.0)  # no link at all only if every class was drawn

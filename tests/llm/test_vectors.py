@@ -111,6 +111,36 @@ def test_a_group_cut_into_many_shards_keeps_its_links(spark, monkeypatch):
     check_links(link_vectors(frame(spark, x)).collect(), x, list(range(len(x))))
 
 
+def test_loss_of_rare_pairs_is_noticed(spark, monkeypatch):
+    """The first vectors drawn see no link; the search loses all."""
+    lossy = lambda classes, *_: classes.selectExpr("node", "0L AS links", "node AS root")
+    monkeypatch.setattr(embedding_graph, "_search", lossy)
+    draw = np.random.default_rng(12)
+    x = draw.normal(size=(3000, 24))
+    x[0] = x[1] + draw.normal(size=24) * 0.1
+    x = x.astype(np.float32)
+    check_links(link_vectors(frame(spark, x)).collect(), x, list(range(len(x))), 1.0)
+
+
+def test_audit_draws_until_it_has_seen_links(spark, monkeypatch):
+    draw = np.random.default_rng(3)
+    x = unit(draw.normal(size=(2000, 16)))
+    x[:30] = x[30:60] + 1e-3
+    classes = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(x)], "node bigint, weight bigint, v array<double>")
+    rows = embedding_graph._truth(classes, 2000, 16, 0.95).collect()
+    assert sorted(r.node for r in rows) == list(range(60)) and all(r.near == r.true == 1 for r in rows)
+    monkeypatch.setattr(embedding_graph, "MOST_DRAWN", 300)
+    assert embedding_graph._truth(classes, 2000, 16, 0.95) is None  # not measured
+    monkeypatch.setattr(embedding_graph, "LINKED", 3)
+    assert 3 <= embedding_graph._truth(classes, 2000, 16, 0.95).count() < 60
+
+
+def test_many_links_do_not_hide_few(spark):
+    truth = spark.createDataFrame([(1, 1, 1), (2, 1, 1), (3, 900, 900)], "node bigint, near bigint, true bigint")
+    found = spark.createDataFrame([(1, 1), (3, 900)], "node bigint, links bigint")
+    assert embedding_graph._audit(truth, found) == 0.5
+
+
 def test_comparison_of_blocks_is_exact(spark, monkeypatch):
     monkeypatch.setattr(embedding_graph, "_audit", lambda *_: 0.0)
     x = clustered(600)
