@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,41 @@ TEMPLATES = {
         rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to
         permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright
         notice and this permission notice shall be included in all copies or substantial portions of the Software.""",
+    "agpl-3.0-notice": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+        Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at
+        your option) any later version.""",
+    "bsd-line": "Released under the BSD License.",
+    "cc-by-4.0-line": "Licensed under CC BY 4.0.",
+    "cc-by-sa-4.0-line": "Licensed under CC BY-SA 4.0.",
+    "gpl-2.0-line": "This work is licensed under the GNU General Public License, version 2.",
+    "gpl-2.0-notice": """This program is free software; you can redistribute it and/or modify it under the terms of the GNU
+        General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your
+        option) any later version.""",
+    "isc-grant": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
+        hereby granted, provided that the above copyright notice and this permission notice appear in all copies.""",
+    "lgpl-2.1-notice": """This library is free software; you can redistribute it and/or modify it under the terms of the GNU
+        Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at
+        your option) any later version.""",
+    "mpl-2.0-notice": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the
+        MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+}
+
+#: The words that tell a license from others: each of these runs must match word by word, with nothing between.
+NAMES = {
+    "agpl-3.0-notice": ("GNU Affero General", "version 3"),
+    "apache-2.0-line": ("Apache License Version 2.0",),
+    "apache-2.0-notice": ("Apache License Version 2.0",),
+    "bsd-line": ("BSD License",),
+    "cc-by-4.0-line": ("CC BY 4.0",),
+    "cc-by-nc-4.0-line": ("CC BY NC 4.0",),
+    "cc-by-sa-4.0-line": ("CC BY SA 4.0",),
+    "gpl-2.0-line": ("GNU General Public License version 2",),
+    "gpl-2.0-notice": ("GNU General", "version 2"),
+    "gpl-3.0-line": ("GNU General Public License version 3",),
+    "gpl-3.0-notice": ("GNU General", "version 3"),
+    "lgpl-2.1-notice": ("GNU Lesser General", "version 2.1"),
+    "mit-line": ("MIT License",),
+    "mpl-2.0-notice": ("Public License v 2.0", "MPL 2.0"),
 }
 
 SPANS = "doc_id bigint, template string, coverage double, matched int, template_words int, start_word bigint, end_word bigint, start_char bigint, end_char bigint"
@@ -58,16 +93,26 @@ def winnow(hashes: np.ndarray, window: int) -> np.ndarray:
     return np.unique(np.arange(len(view)) + window - 1 - view[:, ::-1].argmin(axis=1))
 
 
+def _run(words: np.ndarray, phrase: np.ndarray) -> range:
+    """Where the phrase first stands in the words; empty if nowhere."""
+    n = len(phrase)
+    return next((range(i, i + n) for i in range(len(words) - n + 1) if n and (words[i : i + n] == phrase).all()), range(0))
+
+
 class TemplateIndex:
     """Inverted index: fingerprint to the places of templates that hold it."""
 
-    def __init__(self, templates: Mapping[str, str]):
+    def __init__(self, templates: Mapping[str, str], names: Mapping[str, Sequence[str]] = NAMES):
         self.codes, self.words, index = WordCodes(), {}, defaultdict(list)
+        self.named: dict[str, list[range]] = {}
         for name in sorted(templates):
             words = self.codes.of(_tokens(templates[name]))
             if not len(words):
                 continue
             self.words[name] = words
+            runs = [_run(words, self.codes.of(_tokens(phrase))) for phrase in names.get(name, ())]
+            # a short template without such words must match whole
+            self.named[name] = [r for r in runs if r] or ([range(len(words))] if len(words) < SHORT else [])
             gram, window = (SHORT_GRAM, SHORT_WINNOW) if len(words) < SHORT else (GRAM, WINNOW)
             gram = min(gram, len(words))
             hashes = gram_hashes(words, gram, _BY)
@@ -117,8 +162,8 @@ def align(template: np.ndarray, text: np.ndarray, shift: int, band: int) -> list
     return pairs[::-1]
 
 
-def occurrences(template: np.ndarray, text: np.ndarray, hits: list[tuple[int, int]], coverage: float) -> list[tuple[int, int, int]]:
-    """(matched words, first place, last place) of each alignment that covers enough of the template; none overlap."""
+def occurrences(template: np.ndarray, text: np.ndarray, hits: list[tuple[int, int]], coverage: float, named: Sequence[range] = ()) -> list[tuple[int, int, int]]:
+    """(matched words, first place, last place) of each alignment that covers enough of the template, and its ``named`` runs unbroken; none overlap."""
     band = max(2, len(template) // 8)
     found: list[tuple[int, int, int]] = []
     shifts = sorted({at - place for at, place in hits})
@@ -130,7 +175,9 @@ def occurrences(template: np.ndarray, text: np.ndarray, hits: list[tuple[int, in
             groups.append([s])
     for group in groups:
         pairs = align(template, text, group[len(group) // 2], band)
-        if pairs and len(pairs) >= coverage * len(template):
+        at = dict(pairs)
+        whole = all(at.get(k, -1) == at.get(run[0], -2) + k - run[0] for run in named for k in run)
+        if pairs and len(pairs) >= coverage * len(template) and whole:
             found.append((len(pairs), pairs[0][1], pairs[-1][1]))
     kept: list[tuple[int, int, int]] = []
     for one in sorted(found, key=lambda f: (-f[0], f[2] - f[1], f[1])):
@@ -152,30 +199,34 @@ def scan_text(index: TemplateIndex, text: str, coverage: float) -> list[tuple]:
     out = []
     for name, places in hits.items():
         template = index.words[name]
-        for matched, first, last in occurrences(template, codes, places, coverage):
+        for matched, first, last in occurrences(template, codes, places, coverage, index.named[name]):
             chars = (spans[first][0], spans[last][1]) if exact else (lowered[first][0], lowered[last][1])
             out.append((name, matched / len(template), matched, len(template), first, last + 1, *chars))
     return sorted(out, key=lambda o: (o[4], o[0]))
 
 
-def scan_licenses(docs: DataFrame, templates: Mapping[str, str] | None = None, coverage: float = 0.8) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: Mapping[str, str] | None = None, coverage: float = 0.8, names: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """Occurrences of templates in whole texts: a row for each, with the share of the template matched and its span.
 
     Templates are winnowed: of each run of word grams the smallest hash is a fingerprint, and the
     inverted index of those, bounded by ``MOST_WORDS``, goes to every task. All grams of a text are
     looked up; a template that shares any is aligned word by word within a band around each place
     the fingerprints point to. An alignment that matches ``coverage`` of the template's words is an
-    occurrence: (doc_id, template, coverage, matched, template_words, start_word, end_word,
+    occurrence if the words that name the license (``names``, by template; ``NAMES`` if not given) all
+    match with nothing between them, so that another version or license is none; a template of under
+    ``SHORT`` words without such a name must match whole: (doc_id, template, coverage, matched, template_words, start_word, end_word,
     start_char, end_char), ends exclusive. Occurrences of one template do not overlap; different
     templates may. Words are runs of letters and digits, in small letters.
 
     No row moves between tasks. Null and empty texts have no occurrence; repeated rows and null
     ids are scanned like any other; an empty table, or no templates, gives no rows.
     """
+    # names are only those of the templates they were made for
+    names = (NAMES if templates is None else {}) if names is None else dict(names)
     templates = TEMPLATES if templates is None else dict(templates)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = TemplateIndex(templates)
+        index = TemplateIndex(templates, names)
         for batch in slices(batches):
             out = [(doc, *o) for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True) for o in scan_text(index, text.as_py(), coverage)]
             kinds = [pa.int64(), pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]

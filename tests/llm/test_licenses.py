@@ -63,6 +63,32 @@ def test_clean_text_and_half_templates_are_left_alone():
     assert not [o for o in scan_text(index, half, 0.8) if o[0] == "mit-grant"]
 
 
+@pytest.mark.parametrize(
+    ("text", "names"),
+    [
+        ("Released under the Apache License.", []),
+        ("Released under the terms of the license.", []),
+        ("Released under the BSD License.", ["bsd-line"]),
+        ("Released under the MIT License.", ["mit-line"]),
+        ("Licensed under CC BY 4.0.", ["cc-by-4.0-line"]),
+        ("Licensed under CC BY-NC-ND 4.0.", []),
+        ("This work is licensed under the GNU General Public License, version 2.", ["gpl-2.0-line"]),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", []),
+        ("Licensed under the Apache License, Version 1.1.", []),
+        (TEMPLATES["gpl-3.0-notice"].replace("version 3", "version 2"), ["gpl-2.0-notice"]),
+        (TEMPLATES["gpl-3.0-notice"].replace("version 3", "version 4"), []),
+    ],
+)
+def test_another_license_is_not_reported(text, names):
+    assert [o[0] for o in scan_text(TemplateIndex(TEMPLATES), f"before it {text} and after", 0.8)] == names
+
+
+def test_short_templates_without_a_name_match_whole(spark):
+    docs = awkward_documents(spark)
+    assert scan_licenses(docs, {"fox": "quick red fox jumps over"}).count() == 0
+    assert scan_licenses(docs, {"fox": "quick red fox jumps over"}, names={"fox": ["fox jumps"]}).count() == 3
+
+
 def brute(text):
     """Templates whose words all stand in a row in the text."""
     words, out = [w.decode() for w in _tokens(text or "")], set()
