@@ -49,8 +49,8 @@ def exact_top_k(items: DataFrame, queries: DataFrame, k: int = 5, pivots: int =
 
     Adding one component, sqrt(M - |x|^2) with M the largest squared norm, to every item and a 0
     to every query turns the largest product into the smallest distance. Items are keyed by their
-    nearest pivot and the distance to it, and sorted by that key into blocks: annuli of about
-    ``block`` vectors. A query first scores the annulus around its own distance at its nearest
+    nearest pivot and the distance to it, and sorted by that key and the id into blocks: annuli of
+    about ``block`` vectors, however many are at one distance. A query first scores the annulus around its own distance at its nearest
     pivot. The k-th score found bounds how far an item may be, and by the triangle inequality only
     annuli within that reach are opened, and in them only the sorted run within reach. Every test
     leaves room for rounding, and ties are kept, so the result is exact whatever the sample that
@@ -85,7 +85,7 @@ def exact_top_k(items: DataFrame, queries: DataFrame, k: int = 5, pivots: int =
             near = far.argmin(axis=1)
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array([v.tobytes() for v in x], pa.binary()), pa.array(near, pa.int32()), pa.array(far[np.arange(len(x)), near])], ["vec_id", "ivec", "pivot", "dist"])
 
-    ordered = slim.mapInArrow(keyed, _INDEX).repartitionByRange(max(1, -(-count // block)), "pivot", "dist").sortWithinPartitions("pivot", "dist")
+    ordered = slim.mapInArrow(keyed, _INDEX).repartitionByRange(max(1, -(-count // block)), "pivot", "dist", "vec_id").sortWithinPartitions("pivot", "dist")
     index = saved(ordered.withColumn("block", F.spark_partition_id()), "index")
     annuli = saved(index.groupBy("block", "pivot").agg(F.min("dist").alias("low"), F.max("dist").alias("high")), "annuli")
     chunks = max(1, -(-asked.count() // QUERIES))

@@ -58,6 +58,23 @@ def test_top_k_with_many_blocks_and_equal_vectors(spark, monkeypatch, chunk):
     assert sorted(map(tuple, got.collect())) == top_k(x, list(range(len(x))), range(0, len(x), 50))
 
 
+def test_vectors_at_one_distance_are_divided_over_blocks(spark, monkeypatch):
+    sizes = []
+
+    def saved(df, name, keep=exact_topk.saved):
+        out = keep(df, name)
+        if name == "index":
+            sizes.extend(r["count"] for r in out.groupBy("block").count().collect())
+        return out
+
+    monkeypatch.setattr(exact_topk, "saved", saved)
+    x = np.eye(256, dtype=np.float32)
+    vectors = quantized(frame(spark, x))
+    got = exact_top_k(vectors, vectors.where("vec_id % 50 = 0"), block=32)
+    assert sorted(map(tuple, got.collect())) == top_k(x, list(range(256)), range(0, 256, 50))
+    assert max(sizes) < 128
+
+
 def test_top_k_of_awkward_rows(spark):
     vectors = quantized(awkward_vectors(spark))
     got = [tuple(r) for r in exact_top_k(vectors, vectors.where("vec_id % 50 = 0")).collect()]
