@@ -40,6 +40,11 @@ def unpacked(df: DataFrame, **replaced: Column) -> DataFrame:
     return df.select(*[(replaced[c] if c in replaced else F.col(f"row.`{c}`")).alias(c) for c in names])
 
 
+def turn_digest(role: Column, text: Column) -> Column:
+    """16 bytes of a SHA-256 over role and text, which tell turns apart without moving them."""
+    return F.unhex(F.substring(F.sha2(F.concat(F.char_length(role).cast("string"), F.lit(":"), role, text), 256), 1, 32))
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Written once to the shared folder and read back: ends lineage, survives lost executors."""
     return materialize(df, scratch_path(df.sparkSession, name))

@@ -13,6 +13,7 @@ from siteledger.llm.exact_topk import exact_top_k, quantized
 from siteledger.llm.licenses import scan_licenses
 from siteledger.llm.mixing import mix
 from siteledger.llm.packing import pack
+from siteledger.llm.prefix_trie import prefix_trie
 from siteledger.llm.quality import score_quality
 from siteledger.llm.simhash import near_duplicates
 from siteledger.llm.substring import remove_repeats
@@ -69,6 +70,10 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(vectors, vectors.where(F.col("vec_id") % EVERY == 0))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_quality": op2_quality,
@@ -80,8 +85,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_embedding_graph": op9_embedding_graph,
     "op10_exact_topk": op10_exact_topk,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
+
+def _crc32(text: str) -> str:
+    """SQL for the CRC-32 of a string of ASCII characters, bit by bit."""
+    codes = f"list_transform(range(1, length({text}) + 1), lambda i: CAST(ascii(substring({text}, CAST(i AS INTEGER), 1)) AS BIGINT))"
+    bits = "list_reduce(list_prepend(xor(crc, code), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda crc, code: {bits}), 4294967295)"
+
+
+#: What tells one turn from others, and orders turns of one number.
+_TURN = "substring(sha256(length(coalesce(role, '{0}')) || ':' || coalesce(role, '{0}') || coalesce(text, '{0}')), 1, 32)"
+
 ORACLES: dict[str, str] = {
     "op4_substring_dedup": r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
@@ -112,4 +129,17 @@ s AS (SELECT q.vec_id AS query_id, x.vec_id, CAST(list_dot_product(q.e, x.e) AS
   FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % {EVERY} = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op13_prefix_trie": f"""
+WITH t AS (SELECT conv_id, turn, {_TURN.format("")} AS key, length(coalesce(text, '')) AS n FROM conversations WHERE conv_id IS NOT NULL),
+p AS (SELECT conv_id, list({{'key': key, 'n': n}} ORDER BY turn NULLS FIRST, key) AS own, {_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM t GROUP BY conv_id),
+r AS (SELECT p.conv_id, list_concat(coalesce(b.own[1:p.h], []), p.own[p.h + 1:]) AS path FROM p LEFT JOIN p b ON b.conv_id = p.conv_id - p.conv_id % 100),
+m AS (SELECT conv_id, len(path) AS turns, unnest(range(len(path) + 1)) AS depth, path FROM r),
+n AS (SELECT path[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+  coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (turns = depth), '') AS ends FROM m GROUP BY ALL),
+c AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+k AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN c ON n.path = c.path),
+a AS (SELECT path[1:up] AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum(CASE WHEN depth > 0 THEN (n_convs - 1) * path[depth].n ELSE 0 END) AS saved
+  FROM (SELECT *, unnest(range(depth + 1)) AS up FROM k) GROUP BY ALL)
+SELECT k.conv_id, k.depth, u.conv_id AS parent_conv_id, k.n_convs, k.n_children, a.n_leaves, CAST(a.saved AS BIGINT) AS saved_tokens, sha256(k.ends) AS ends_sha256
+FROM k JOIN a ON a.path = k.path LEFT JOIN k u ON k.depth > 0 AND u.path = k.path[1:k.depth - 1]""",
 }
