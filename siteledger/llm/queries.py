@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siteledger.llm.common import read_table
+from siteledger.llm.conversation_repair import damaged, repair
 from siteledger.llm.embedding_graph import link_vectors
 from siteledger.llm.exact_topk import exact_top_k, quantized
 from siteledger.llm.licenses import scan_licenses
@@ -70,6 +71,10 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(vectors, vectors.where(F.col("vec_id") % EVERY == 0))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(damaged(read_table(spark, sf_dir, "conversations"))).drop("signature")
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(read_table(spark, sf_dir, "conversations"))
 
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_embedding_graph": op9_embedding_graph,
     "op10_exact_topk": op10_exact_topk,
+    "op11_conversation_repair": op11_conversation_repair,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
@@ -99,6 +105,23 @@ def _crc32(text: str) -> str:
 #: What tells one turn from others, and orders turns of one number.
 _TURN = "substring(sha256(length(coalesce(role, '{0}')) || ':' || coalesce(role, '{0}') || coalesce(text, '{0}')), 1, 32)"
 
+def _way(edit: str, cost: str, state: str, line: str | None = None) -> str:
+    """SQL for a way of op11: one edit, then the best way from ``state``. Null where that is none."""
+    lines = f"{state}.lines" if line is None else f"list_prepend({line}, {state}.lines)"
+    return f"{{'cost': {state}.cost + {cost}, 'audit': '{edit}' || {state}.audit, 'lines': {lines}}}"
+
+
+def _least(*ways: str) -> str:
+    return f"list_sort(list_filter([{', '.join(ways)}], lambda w: w IS NOT NULL))[1]"
+
+
+def _direct(state: str, wanted: str, behind: str, **keep: str) -> str:
+    """SQL for the best way from a state whose first edit is no insertion; ``keep`` has the state behind each legal initial."""
+    own, more = "role || ':' || text", "CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END"
+    ways = [f"CASE WHEN initial = '{i}' AND may_stay THEN {_way('K', more, to, own)} END" for i, to in keep.items()]
+    return _least(_way("D", "4", state), f"CASE WHEN may_stay THEN {_way('R', f'3 + {more}', behind, f"'{wanted}:' || text")} END", *ways)
+
+
 ORACLES: dict[str, str] = {
     "op4_substring_dedup": r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
@@ -129,6 +152,33 @@ s AS (SELECT q.vec_id AS query_id, x.vec_id, CAST(list_dot_product(q.e, x.e) AS
   FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % {EVERY} = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_conversation_repair": f"""
+WITH RECURSIVE src AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  {_crc32("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS harm FROM conversations),
+d AS (SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+  CASE harm WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+  unnest(range(CASE harm WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM src),
+o AS (SELECT conv_id, turn, role, text, substring(role, 1, 1) AS initial,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, {_TURN.format(" ")}, copy) AS pos,
+  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+  regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) AS final FROM d),
+f AS (SELECT *, CASE WHEN final = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN final NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+  coalesce((lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) || initial) NOT IN ('su', 'ua', 'au'), false) AS illegal FROM o),
+n AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+  count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal, max(pos) AS turns FROM f GROUP BY conv_id),
+w AS (SELECT conv_id, turns AS left_over, {{'cost': 0, 'audit': '', 'lines': []::VARCHAR[]}} AS q0, {{'cost': 6, 'audit': 'II', 'lines': ['user:', 'assistant:']}} AS q1,
+  {{'cost': 3, 'audit': 'I', 'lines': ['assistant:']}} AS q2, {{'cost': 0, 'audit': '', 'lines': []::VARCHAR[]}} AS q3 FROM n
+UNION ALL SELECT conv_id, left_over, {_least("b0", _way("I", "3", "n2", "'user:'"))}, {_least("b1", _way("I", "3", "n2", "'user:'"))}, n2, {_least("b3", _way("I", "3", "b2", "'user:'"))}
+  FROM (SELECT *, {_least("b2", _way("I", "3", "b3", "'assistant:'"))} AS n2 FROM (SELECT conv_id, left_over - 1 AS left_over,
+    {_direct("q0", "user", "q2", s="q1", u="q2")} AS b0, {_direct("q1", "user", "q2", u="q2")} AS b1,
+    {_direct("q2", "assistant", "q3", a="q3")} AS b2, {_direct("q3", "user", "q2", u="q2")} AS b3
+    FROM (SELECT w.*, f.role, f.text, f.initial, f.fault, f.fault NOT IN ('blank', 'duplicate') AS may_stay FROM w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.pos = w.left_over)))),
+e AS (SELECT conv_id, q0 FROM w WHERE left_over = 0),
+c AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, CAST(coalesce(q0.cost, 0) AS BIGINT) AS cost, coalesce(q0.audit, '') AS audit,
+  sha256(coalesce(array_to_string(q0.lines, chr(10)), '')) AS repaired_sha256
+FROM c LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM c.conv_id""",
     "op13_prefix_trie": f"""
 WITH t AS (SELECT conv_id, turn, {_TURN.format("")} AS key, length(coalesce(text, '')) AS n FROM conversations WHERE conv_id IS NOT NULL),
 p AS (SELECT conv_id, list({{'key': key, 'n': n}} ORDER BY turn NULLS FIRST, key) AS own, {_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM t GROUP BY conv_id),
