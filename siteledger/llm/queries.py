@@ -15,6 +15,7 @@ from siteledger.llm.licenses import scan_licenses
 from siteledger.llm.mixing import mix
 from siteledger.llm.packing import pack
 from siteledger.llm.prefix_trie import prefix_trie
+from siteledger.llm.private_data import find_private_data
 from siteledger.llm.quality import score_quality
 from siteledger.llm.simhash import near_duplicates
 from siteledger.llm.substring import remove_repeats
@@ -75,6 +76,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(damaged(read_table(spark, sf_dir, "conversations"))).drop("signature")
 
 
+def op12_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_private_data(read_table(spark, sf_dir, "documents")).drop("base", "added")
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(read_table(spark, sf_dir, "conversations"))
 
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embedding_graph": op9_embedding_graph,
     "op10_exact_topk": op10_exact_topk,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_private_data": op12_private_data,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
