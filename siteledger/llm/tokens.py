@@ -6,6 +6,7 @@ import base64
 import functools
 import hashlib
 import os
+import re
 from itertools import compress, repeat
 from operator import is_
 
@@ -20,6 +21,10 @@ WORD_BPE = "word_bpe_49k.json"
 #: Words a worker remembers, and the longest of them in characters.
 MEMO_WORDS, MEMO_CHARS = 1_600_000, 48
 
+#: The library for ranks overflows its stack on white space of some hundred thousand characters; runs of this
+#: length go to the vocabulary's own library, which counts the same.
+LONG_SPACE = re.compile(r"\s{1000}")
+
 #: Byte-level vocabularies that the public folder also has as ranks.
 RANKS = {BYTE_BPE: "byte_bpe_50k.tiktoken"}
 
@@ -46,7 +51,8 @@ class Counter:
     """Token counts of whole texts as the library of the vocabulary file gives them.
 
     A byte-level BPE whose ranks are at hand as well is counted by the faster library for ranks,
-    which gives the same tokens; texts that hold a special token's string go to the file's own.
+    which gives the same tokens; texts that hold a special token's string, or a long run of white
+    space, go to the file's own.
     """
 
     def __init__(self, name: str = BYTE_BPE):
@@ -64,7 +70,7 @@ class Counter:
     def count(self, text: str) -> int:
         if self.pieces is not None:
             return len(self.pieces.encode(text))
-        if self.ranks is not None and not any(s in text for s in self.special):
+        if self.ranks is not None and not any(s in text for s in self.special) and not LONG_SPACE.search(text):
             return len(self.ranks.encode_ordinary(text))
         return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
 

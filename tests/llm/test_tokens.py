@@ -163,3 +163,9 @@ def test_local_search_never_worsens():
 
 def test_group_size_is_documented():
     assert packing.GROUP >= 4096
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 2_000_000, "a" + " \n\t" * 500_000 + "b", "\u3000" * 300_000, " " * 999 + "x"])
+def test_long_white_space_is_counted(text):
+    library = tokens.load(tokens.BYTE_BPE)
+    assert tokens.counter(tokens.BYTE_BPE).count(text) == len(library.encode(text, add_special_tokens=False).ids)
