@@ -159,7 +159,7 @@ def repeated_windows(rows: DataFrame, window: int, automaton_pieces: int = AUTOM
     whole = held.where("doc_id > first").select("doc_id", "dig", "pos", F.lit((1 << span) - 1).cast("long").alias("starts"))
     # the first of several surroundings of an anchor is searched for in those of earlier documents
     asked = saved(held.where("doc_id = first AND pieces > 1").select("doc_id", "dig", "pos", "anchor", "pieces"), "contested")
-    lists = asked.groupBy("doc_id", "dig").agg(F.collect_list(F.struct("pos", "anchor", "pieces")).alias("places"))  # places of one document
+    lists = asked.groupBy("doc_id", "dig").agg(F.collect_set(F.struct("pos", "anchor", "pieces")).alias("places"))  # places of one document, once for all its rows
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -178,10 +178,13 @@ def repeated_windows(rows: DataFrame, window: int, automaton_pieces: int = AUTOM
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows arrive sorted by anchor and document: each streams through what earlier documents put in."""
-        now, automaton, waiting, owner = None, SuffixAutomaton(), [], None
+        now, automaton, waiting, owner, done = None, SuffixAutomaton(), [], None, None
         for batch in batches:
             out: list[tuple] = []
             for doc, dig, pos, key, begin, data in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "dig", "pos", "anchor", "begin", "piece")), strict=True):
+                if (key, doc, dig, pos) == done:  # a repeated row
+                    continue
+                done = (key, doc, dig, pos)
                 if key != now:
                     now, automaton, waiting, owner = key, SuffixAutomaton(), [], doc
                 elif doc != owner:
@@ -225,7 +228,7 @@ def repeated_windows(rows: DataFrame, window: int, automaton_pieces: int = AUTOM
     late = late.groupBy("doc_id", "dig", "pos").agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("starts"))
 
     every = whole.unionByName(matched).unionByName(late)
-    return every.groupBy("doc_id", "dig").agg(F.collect_list(F.struct((F.col("pos") - reach).alias("pos"), "starts")).alias("starts"))  # of one document
+    return every.groupBy("doc_id", "dig").agg(F.collect_set(F.struct((F.col("pos") - reach).alias("pos"), "starts")).alias("starts"))  # of one document, once for all its rows
 
 
 def _kept(words: list[bytes], starts: list[dict], window: int) -> list[bytes]:

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -108,3 +109,16 @@ def test_awkward_rows(spark):
     assert 8 not in left and left[7].text == "before after" and left[7].n_chars == 12 and left[7].row == "z"
     assert kept.count() == docs.count() - 1
     assert remove_repeats(empty_documents(spark)).count() == deduplicated(empty_documents(spark)).count() == 0
+
+
+def test_repeated_rows_cost_what_they_are(spark):
+    """A thousand equal rows of one id beside texts that share passages with them: one for one, in linear work."""
+    text = " ".join(f"w{i % 90}" for i in range(400))
+    docs = [(1, " ".join(f"w{i % 90}" for i in range(37, 150))), *[(5, text)] * 1000, (5, "another text of this id"), (9, "x " + text)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(6)
+    start = time.perf_counter()
+    got = remove_repeats(frame).collect()
+    assert time.perf_counter() - start < 60
+    by = {(r.doc_id, r.n_words): r for r in got}
+    assert len(got) == len(docs) and len(by) == 4
+    assert (by[5, 400].n_removed, by[9, 401].n_removed, by[5, 5].n_removed) == (400 - len(plain([docs[0], (5, text)], 50)[5][1]), 400, 0)
