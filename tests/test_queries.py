@@ -2,6 +2,8 @@
 
 import datetime
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -46,3 +48,10 @@ def test_query_matches_sql(spark, oracle, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
+
+
+def test_entry_without_a_tokenizer_library():
+    """The library's own queries do not depend on what the queries for training data need."""
+    code = "import sys; sys.modules['tiktoken'] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.QUERIES))"
+    done = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=os.path.dirname(entry_points.__file__), capture_output=True, text=True, check=True)
+    assert done.stdout.split() == [str(len(entry_points.QUERIES))] * 2
