@@ -13,7 +13,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from siteledger.plans.case_queries import QUERIES
+from siteledger.plans.registered import QUERIES
 from siteledger.session import local_session
 
 #: All queries of the library itself, the crawls last.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from siteledger import schemas
 from siteledger.functions.messages import date_text, issue_count
@@ -56,6 +56,83 @@ def accessible_share(
     )
 
 
+def daily_shares(
+    records: DataFrame,
+    by: Sequence[str] = (),
+    days: int = RECORD_RETENTION_DAYS,
+    first: Column | None = None,
+    last: Column | None = None,
+    keys: Sequence[str] = RECORD_KEYS,
+    date: str = "scan_date",
+    ts: str | Sequence[str] = (),
+    count: Column | None = None,
+) -> DataFrame:
+    """The share of every day, as a snapshot of that day would give it, in one pass.
+
+    Returns ``(*by, snapshot_date, n_records, n_accessible, accessible_share)``, a row for each day
+    from ``first`` to ``last`` (by default from the first scan until the last one expires) on which
+    a group holds a record.
+
+    A record counts from its scan day until the day before its key's next scan, or until ``days``
+    days later, whichever comes first. Only the two ends of that interval move, as +1 and -1; sums
+    of these per day and group, added up in order of day, are the counts. So neither records nor days are
+    multiplied by each other: a key sends one row per scan day and input partition, a group two
+    rows per day, and the running sums read one row per day of a group.
+
+    Of several scans of a key on one day the last by ``ts`` counts. A record whose count is NULL
+    counts nowhere, but ends the interval of the one before. Records without a date are left out.
+    """
+    order = [ts] if isinstance(ts, str) else list(ts)
+    n = F.col("number_of_errors") if count is None else count
+    key_names = [f"_k{i}" for i in range(len(keys))]
+    by_names = [f"_b{i}" for i in range(len(by))]
+    written = [F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order)]
+    groups = [F.col(f"`{b}`").alias(name) for name, b in zip(by_names, by)]
+    scans = (
+        records.filter(F.col(f"`{date}`").isNotNull())
+        .groupBy(
+            *[F.col(f"`{k}`").alias(name) for name, k in zip(key_names, keys)],
+            F.col(f"`{date}`").cast("date").alias("_day"),
+        )
+        .agg(F.max(F.struct(*written, n.alias("_n"), *groups)).alias("_scan"))
+    )
+    following = F.lead("_day").over(Window.partitionBy(*key_names).orderBy("_day"))
+    expires = F.date_add("_day", days + 1)
+    until = F.least(expires, F.coalesce(following, expires))  # the first day on which it no longer counts
+    spans = scans.select(
+        F.col("_day").alias("_from"), until.alias("_until"), "_scan._n", *[f"_scan.{b}" for b in by_names]
+    ).filter("_n IS NOT NULL")
+    if first is not None:
+        spans = spans.withColumn("_from", F.greatest("_from", first.cast("date")))
+    if last is not None:
+        spans = spans.withColumn("_until", F.least("_until", F.date_add(last.cast("date"), 1)))
+    change = F.explode(F.array(
+        F.struct(F.col("_from").alias("day"), F.lit(1).alias("sign")),
+        F.struct(F.col("_until").alias("day"), F.lit(-1).alias("sign")),
+    ))
+    changes = (
+        spans.filter("_from < _until")
+        .select(*by_names, (F.col("_n") == 0).cast("int").alias("_good"), change.alias("_at"))
+        .groupBy(*by_names, F.col("_at.day").alias("_day"))
+        .agg(F.sum("_at.sign").alias("_d"), F.sum(F.col("_at.sign") * F.col("_good")).alias("_g"))
+    )
+    in_order = Window.partitionBy(*by_names).orderBy("_day")
+    held = changes.select(
+        *by_names,
+        "_day",
+        F.lead("_day").over(in_order).alias("_next"),
+        F.sum("_d").over(in_order).alias("n_records"),
+        F.sum("_g").over(in_order).alias("n_accessible"),
+    ).filter("n_records > 0")
+    return held.select(
+        *[F.col(name).alias(b) for name, b in zip(by_names, by)],
+        F.explode(F.sequence("_day", F.date_sub("_next", 1))).alias("snapshot_date"),
+        "n_records",
+        "n_accessible",
+        (F.col("n_accessible") / F.col("n_records")).alias("accessible_share"),
+    )
+
+
 def split_unreadable(files: DataFrame, issues: str = "issues") -> tuple[DataFrame, DataFrame]:
     """Record files with a readable issue text, and the others."""
     readable = issue_count(F.col(f"`{issues}`")).isNotNull()

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from siteledger.operators.records import (
     RECORD_RETENTION_DAYS,
     accessible_share,
+    daily_shares,
     from_files,
     latest_records,
     retain,
@@ -69,3 +72,19 @@ def join_results(
     share = accessible_share(read_records(spark, data_path))
     append_history(share, as_of, history_path, upsert=upsert)
     return share
+
+
+def backfill_history(
+    records: DataFrame,
+    history_path: str,
+    first: Column | None = None,
+    last: Column | None = None,
+    days: int = RECORD_RETENTION_DAYS,
+    ts: str | Sequence[str] = (),
+) -> None:
+    """The history as a snapshot on each day from ``first`` to ``last`` would have left it.
+
+    All days come out of one pass over the records and replace those that are there already.
+    """
+    shares = daily_shares(records, days=days, first=first, last=last, ts=ts)
+    append_history(shares, F.col("snapshot_date"), history_path, upsert=True)
