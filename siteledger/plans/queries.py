@@ -21,7 +21,7 @@ from siteledger.plans import inventory as inventory_plan, results
 from siteledger.plans.dispatch import dispatch
 from siteledger.plans.site_map import map_links
 from siteledger.session import materialize, scratch_path
-from siteledger.sources import history as history_io, lists, messages as message_io
+from siteledger.sources import history as history_io, lists, messages as message_io, pages as page_io
 from siteledger.sources import records as record_io
 from siteledger.streaming import events as stream_events, state
 
@@ -1318,8 +1318,8 @@ SELECT host AS domain, url AS routeable_url, 0 AS number_of_errors,
   DATE '2024-02-01' AS scan_date FROM last""",
 )
 def stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One message per page streamed in, its page scanned, the last record per site kept
-    (entry 2 as a stream: T1, T2, A1, A2, T3)."""
+    """One message per page streamed in, its page looked up in the folders of its key and scanned,
+    the last record per site kept (entry 2 as a stream: T1, T2, A1, A2, T3)."""
     pages = table(spark, sf_dir, "pages")
     host = url_fn.host_of(F.col("url"))
     body = F.to_json(F.struct(
@@ -1329,11 +1329,14 @@ def stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = scratch_path(spark, "arrivals"), scratch_path(spark, "state")
     record = F.struct(F.col("page_id").cast("string").alias("messageId"), body.alias("body"))
     pages.select(F.to_json(F.struct(F.array(record).alias("Records")))).write.text(source)
+    laid_out = scratch_path(spark, "pages")
+    page_io.write_pages(pages, laid_out, buckets=32)
+    fetched = page_io.read_pages(spark, laid_out)
     state.consume(
         stream_events.stream_events(spark, source, one_per_file=False),
         target, scratch_path(spark, "dead"), scratch_path(spark, "checkpoint"),
         ts="routeable_url",
-        to_records=lambda sites: results.scan_sites(sites, pages, F.lit("2024-02-01")),
+        to_records=lambda sites: results.scan_sites(sites, fetched, F.lit("2024-02-01")),
     )
     return state.read_latest(spark, target, schemas.SCAN_RECORD, ts="routeable_url").select(
         "domain", "routeable_url", "number_of_errors", "scan_date"

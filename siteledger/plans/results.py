@@ -17,6 +17,7 @@ from siteledger.operators.records import (
 )
 from siteledger.operators.scan import scan_pages, scan_records
 from siteledger.sources.history import append_history
+from siteledger.sources.pages import is_laid_out, pages_of
 from siteledger.sources.records import read_record_files, read_records, write_records
 
 
@@ -33,9 +34,12 @@ def scan_sites(
 
     Page source is never shuffled: pages are scanned where they lie, and the much smaller
     results are joined under the key of their page, so ``https://a.gov`` and ``https://a.gov/``
-    are one. Of several fetches of a page the newest by ``fetched_at`` counts. To scan fewer
-    pages, hand in fewer: lay the table out by host or date and filter it.
+    are one. Of several fetches of a page the newest by ``fetched_at`` counts. All pages handed in
+    are scanned, unless they come from a ``write_pages`` table: of that only the folders with pages of
+    these sites are opened.
     """
+    if is_laid_out(pages):
+        pages = pages_of(pages, inventory)
     fetched = pages.select(url, html, *([fetched_at] if fetched_at else []))
     scanned = scan_pages(fetched, html)
     return scan_records(inventory, scanned, as_of, url, failures, fetched_at)
