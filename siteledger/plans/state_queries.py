@@ -1,12 +1,14 @@
-"""Registered queries of records over time, keyed state, versions and page folders."""
+"""Registered queries of records over time, element trees, keyed state and versions."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siteledger.operators import records
+from siteledger.operators import records, scan
+from siteledger.operators.tree_scan import TREE_RULES, scan_trees
 from siteledger.plans import results
-from siteledger.plans.queries import _RECORDS_SQL, _records, query, table
+from siteledger.plans.case_queries import _filled, _sites, _values
+from siteledger.plans.queries import _RECORDS_SQL, ORACLES, _records, query, table
 from siteledger.session import scratch_path
 from siteledger.sources import history as history_io
 
@@ -51,3 +53,52 @@ def backfilled_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     results.backfill_history(rows.filter("event_id % 3 = 0"), path, last=last, ts="event_id")
     results.backfill_history(rows, path, last=last, ts="event_id")
     return history_io.read_history(spark, path)
+
+
+# --- element trees ------------------------------------------------------------------------
+
+# (markup of a page, [(technique, selector of the element that breaks the rule, its start tag)])
+_TREES = [
+    ("<ul><li>one<li><a href='{n}'><img alt=''></a></ul>",
+     [("H91.A.NoContent", "ul:nth-child(1) > li:nth-child(2) > a:nth-child(1)", "<a href='{n}'>")]),
+    ("<div id=d{n}><p>open<p><a href=x></a><div><a href=y>y</a></div></div><img>",
+     [("H91.A.NoContent", "#d{n} > p:nth-child(2) > a:nth-child(1)", "<a href=x>"), ("H37", "img:nth-child(2)", "<img>")]),
+    ("<fieldset><legend>l</legend><label>n <input></label></fieldset><fieldset><div><legend>l</legend><input name=q></div>",
+     [("H71.NoLegend", "fieldset:nth-child(2)", "<fieldset>"),
+      ("H44", "fieldset:nth-child(2) > div:nth-child(1) > input:nth-child(2)", "<input name=q>")]),
+    ("<table><tr><th id=a{n}>1<td headers=a{n}>2<tr><td headers='a{n} b'>3</div></table><table><td headers=a{n}>4</table>",
+     [("H43.IncorrectAttr", "table:nth-child(1) > tr:nth-child(2) > td:nth-child(1)", "<td headers='a{n} b'>"),
+      ("H43.IncorrectAttr", "table:nth-child(2) > td:nth-child(1)", "<td headers=a{n}>")]),
+    ("<h1>{h}</h1><div><h2><span>&nbsp;</span></h2></div><h3><img alt='{h}'></h3>",
+     [("H42.2", "div:nth-child(2) > h2:nth-child(1)", "<h2>")]),
+    ("<form><div><form id=f{n}></form><button type=button>x</button></div>",
+     [("H32.2", "form:nth-child(1)", "<form>"), ("H32.2", "#f{n}", "<form id=f{n}>")]),
+    ("<p id=x>{h}<div><b id=x>again</b></div></p></section>", [("F77", "#x", "<b id=x>")]),
+    ("plain text of {h} & no element", []),
+]
+_ALWAYS = ("H57.2", "H25.1.NoTitleEl")  # none of the pages has a language or a title
+_CODES = {technique: next(r.code for r in TREE_RULES if r.code.endswith(technique)) for _, found in _TREES for technique, _, _ in found}
+
+
+@query(
+    "tree_issues",
+    f"""WITH f(part, code, selector, context) AS (VALUES {_values([
+        (str(k), _CODES[t], selector, context) for k, (_, found) in enumerate(_TREES) for t, selector, context in found
+    ])})
+SELECT page_id, CAST(part AS INTEGER) AS part, code, replace(selector, '{{n}}', CAST(page_id AS VARCHAR)) AS selector,
+  replace(context, '{{n}}', CAST(page_id AS VARCHAR)) AS context FROM pages, f""",
+)
+def tree_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules that need ancestry, over made-up pages with nested, unclosed and stray tags for every page (A1, M8)."""
+    parts = F.array(*[F.struct(F.lit(k).alias("part"), _filled(markup).alias("html")) for k, (markup, _) in enumerate(_TREES)])
+    pages = _sites(spark, sf_dir).select(F.col("n").cast("bigint").alias("page_id"), F.inline(parts))
+    issues = scan.explode_issues(scan_trees(pages)).filter(~F.col("code").rlike("|".join(f"{t}$" for t in _ALWAYS)))
+    return issues.select("page_id", "part", "code", "selector", "context")
+
+
+@query("tree_page_issues", ORACLES["page_issues"])
+def tree_page_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Issues of all pages by rule, read from their trees (A1)."""
+    scanned = scan_trees(table(spark, sf_dir, "pages"), include_warnings=True, keep=["page_id"])
+    per_page = scan.explode_issues(scanned).groupBy("code", "type", "page_id").agg(F.count("*").alias("n"))
+    return per_page.groupBy("code", "type").agg(F.sum("n").alias("n_issues"), F.count("*").alias("n_pages"))
