@@ -13,6 +13,7 @@ from siteledger.functions.urls import (
     clean_url,
     composite_id,
     is_absolute,
+    let,
     netloc,
     resolve_against,
     site_parts,
@@ -77,37 +78,47 @@ def page_links(
     extensions: Sequence[str] = IGNORED_EXTENSIONS,
     unwanted: Sequence[str] = UNWANTED,
     compat: bool = False,
+    followed: bool = False,
 ) -> DataFrame:
     """Add ``links``, the distinct links of each page as array<struct(url, raw)>.
 
     A link is kept if it is no fragment of the page, has no ignored extension, no unwanted
     term and names a scheme. ``url`` is its address cut at ``?`` and ``#``, ``raw`` the full
     one. All of a page's links are handled inside its row, so nothing is shuffled.
+
+    ``followed`` adds the links a crawl may follow in the same form. Those are read as a link extractor
+    reads them: ``area`` elements count like ``a``, and addresses resolve against the
+    document's ``base`` where it has one. ``links`` knows neither.
     """
-    hrefs = F.transform(
-        start_tags(visible_markup(F.col(f"`{html}`")), "a"),
-        lambda attrs: strip(decode_entities(attribute(attrs, "href"))),
-    )
-    based = pages.withColumns(
-        {
-            "_hrefs": F.array_distinct(
-                F.filter(hrefs, lambda h: (h != "") & ~h.startswith("#"))
-            ),
-            "_base": F.struct(
-                *[c.alias(n) for n, c in zip(BaseUrl._fields, BaseUrl.of(F.col(f"`{url}`")))]
-            ),
-        }
-    )
-    base = BaseUrl(*[F.col(f"_base.{n}") for n in BaseUrl._fields])
-    resolved = F.filter(
-        F.transform("_hrefs", lambda h: resolve_against(base, h)),
-        lambda u: ~has_ignored_extension(u, extensions, compat) & is_absolute(u),
-    )
-    links = F.filter(
-        F.transform(resolved, lambda u: F.struct(clean_url(u).alias("url"), u.alias("raw"))),
-        lambda link: ~contains_any(link["url"], unwanted),
-    )
-    return based.withColumn("links", links).drop("_hrefs", "_base")
+
+    def resolved(markup: Column, tags: str, base: BaseUrl) -> Column:
+        hrefs = F.transform(start_tags(markup, tags), lambda attrs: strip(decode_entities(attribute(attrs, "href"))))
+        distinct = F.array_distinct(F.filter(hrefs, lambda h: (h != "") & ~h.startswith("#")))
+        absolute = F.filter(
+            F.transform(distinct, lambda h: resolve_against(base, h)),
+            lambda u: ~has_ignored_extension(u, extensions, compat) & is_absolute(u),
+        )
+        return F.filter(
+            F.transform(absolute, lambda u: F.struct(clean_url(u).alias("url"), u.alias("raw"))),
+            lambda link: ~contains_any(link["url"], unwanted),
+        )
+
+    def parts(of: Column) -> Column:
+        return F.struct(*[c.alias(n) for n, c in zip(BaseUrl._fields, BaseUrl.of(of))])
+
+    own = BaseUrl(*[F.col(f"_base.{n}") for n in BaseUrl._fields])
+    read = pages.withColumns({"_markup": visible_markup(F.col(f"`{html}`")), "_base": parts(F.col(f"`{url}`"))})
+    read = read.withColumn("links", resolved(F.col("_markup"), "a", own))
+    if followed:
+        stated = F.transform(start_tags(F.col("_markup"), "base"), lambda attrs: strip(decode_entities(attribute(attrs, "href"))))
+        first = F.get(F.filter(stated, lambda h: h != ""), F.lit(0))
+        other = F.col("_markup").rlike(r"(?i)<(?:area|base)[\s/>]")
+        stated_url = F.when(other, let(first, lambda h: F.when(h.isNotNull(), resolve_against(own, h))))
+        read = read.withColumn("_stated", F.coalesce(stated_url, F.col("_base.url"))).withColumns({"_from": parts(F.col("_stated")), "_other": other})
+        base = BaseUrl(*[F.col(f"_from.{n}") for n in BaseUrl._fields])
+        read = read.withColumn("followed", F.when(F.col("_other"), resolved(F.col("_markup"), "(?:a|area)", base)).otherwise(F.col("links")))
+        read = read.drop("_stated", "_from", "_other")
+    return read.drop("_markup", "_base")
 
 
 def extract_links(

@@ -151,6 +151,33 @@ def crawl_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crawl_op.crawl(first.unionAll(targets), first.select(F.col("url").alias("seed_url")))
 
 
+# (path, source of the page, links a crawl from / returns from it: (path, depth))
+_FOLLOWED = [
+    ("/", "<map><area href='/map?x'></map><a href='/plain'>x</a><area href='/deny.pdf'>", [("/plain", 1)]),
+    ("/map", "<A HREF='from-map{n}'>x</A>", [("/from-map{n}", 2)]),
+    ("/plain", "<!-- <base href='/no/'> --><base href='/dir/'><a href='sub'>x</a>", [("/sub", 2)]),
+    ("/dir/sub", "<base target=t><area href='../area'><a href='../from-base'>x</a>", [("/from-base", 3)]),
+    ("/sub", "<a href='/never'>x</a>", []),
+    ("/area", "<a href='/last'>x</a>", [("/last", 4)]),
+]
+
+
+@query(
+    "crawl_areas",
+    f"""WITH s AS (SELECT DISTINCT regexp_extract(url, '^https?://([^/?#]*)', 1) AS host FROM pages),
+f(path, depth) AS (VALUES {", ".join(f"('{path}', {depth})" for _, _, links in _FOLLOWED for path, depth in links)})
+SELECT 'https://' || host || '/' AS seed_url, 'https://' || host || replace(path, '{{n}}', '') AS url, depth FROM s, f""",
+)
+def crawl_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crawl through image maps and documents with a base address, on every host."""
+    sites = _sites(spark, sf_dir).select("host", F.lit("").alias("n")).distinct()
+    pages = sites.select(F.inline(F.array(*[
+        F.struct(_filled(f"https://{{h}}{path}").alias("url"), _filled(markup).alias("html"))
+        for path, markup, _ in _FOLLOWED
+    ])))
+    return crawl_op.crawl(pages, sites.select(_filled("https://{h}/").alias("seed_url")))
+
+
 @query(
     "routeable_undated",
     f"""WITH {_HOSTS_SQL},

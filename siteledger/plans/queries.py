@@ -283,6 +283,16 @@ FROM found JOIN p USING (page_id) JOIN p s ON s.page_id = found.root GROUP BY 1,
 def crawl_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Crawl to the end of one large site with cycles: page n links to the pages 2n+1 and
     2n+2 and back to page 0, so that every seed reaches every page (I1)."""
+    marked, pages = _tree_pages(spark, sf_dir)
+    seeds = pages.groupBy("tld").agg(F.min_by("address", "page_id").alias("seed_url"))
+    return crawl_op.crawl(
+        marked, seeds, url="address",
+        netloc=F.lit(".site.gov"), allowed_host=F.lit("site.gov"),
+    )
+
+
+def _tree_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(address, html) of one large site, and its pages by number."""
     n = F.col("page_id")
     pages = table(spark, sf_dir, "pages").select(
         n,
@@ -303,9 +313,28 @@ def crawl_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = pages.join(links_down, "page_id", "left").select(
         "address", F.array_join(anchors, "").alias("html")
     )
-    seeds = pages.groupBy("tld").agg(F.min_by("address", "page_id").alias("seed_url"))
+    return marked, pages
+
+
+@query(
+    "crawl_seeds",
+    """WITH RECURSIVE p AS (
+  SELECT page_id, 'https://' || regexp_extract(url, '^https?://([^/?#]*)', 1) || '.site.gov/p'
+    || page_id AS url FROM pages),
+l AS (SELECT a.page_id AS page, b.page_id AS link FROM p a JOIN p b
+  ON b.page_id IN (0, 2 * a.page_id + 1, 2 * a.page_id + 2)),
+walk AS (
+  SELECT page AS seed, link, 1 AS depth FROM l
+  UNION
+  SELECT w.seed, l.link, w.depth + 1 FROM walk w JOIN l ON l.page = w.link WHERE w.depth < 5)
+SELECT s.url AS seed_url, t.url, CAST(min(depth) AS INTEGER) AS depth
+FROM walk JOIN p s ON s.page_id = seed JOIN p t ON t.page_id = link GROUP BY 1, 2""",
+)
+def crawl_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same site crawled five links deep from every one of its pages."""
+    marked, pages = _tree_pages(spark, sf_dir)
     return crawl_op.crawl(
-        marked, seeds, url="address",
+        marked, pages.select(F.col("address").alias("seed_url")), 5, url="address",
         netloc=F.lit(".site.gov"), allowed_host=F.lit("site.gov"),
     )
 

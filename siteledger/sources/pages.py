@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from siteledger.functions.urls import page_key
 from siteledger.session import materialize, scratch_path
@@ -54,17 +54,12 @@ def pages_of(
     found = pages.select(BUCKETS).first()
     if found is None:
         return pages
-    size = Observation()
     key = page_key(F.col(f"`{url}`"))
     keys = sites.select(key.alias(KEY)).filter(F.length(KEY) > 0).distinct()
-    keys = materialize(
-        keys.withColumn(BUCKET, bucket_of(F.col(KEY), found[0])).observe(
-            size, F.sum(F.octet_length(KEY) + 16).alias("bytes")
-        ),
-        scratch_path(spark, "page-keys"),
-    )
+    keys = materialize(keys.withColumn(BUCKET, bucket_of(F.col(KEY), found[0])), scratch_path(spark, "page-keys"))
+    size = keys.agg(F.sum(F.octet_length(KEY) + 16)).first()[0] or 0
     # The filters say nothing new: only a side that is filtered may prune the folders of the other.
-    if (size.get["bytes"] or 0) <= most:
+    if size <= most:
         wanted, on = keys.filter(F.length(KEY) > 0), [BUCKET, KEY]
     else:
         wanted, on = keys.select(BUCKET).distinct().filter(F.col(BUCKET) >= 0), [BUCKET]
