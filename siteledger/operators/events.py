@@ -18,14 +18,18 @@ def to_messages(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 
 def from_events(
-    df: DataFrame, schema: T.StructType = schemas.MESSAGE, value: str = "value"
+    df: DataFrame,
+    schema: T.StructType = schemas.MESSAGE,
+    value: str = "value",
+    sent_at: bool = False,
 ) -> DataFrame:
     """Decode queue events: one row per record with the message's columns, ``message_id``,
     ``receive_count``, the raw ``body`` and ``bad``.
 
     ``bad`` marks what cannot be processed: an event that is not JSON, one without records,
     and a body that is not a JSON object. Good and bad rows stay in one DataFrame so that
-    the input is parsed once; see ``streaming.events.route_bad_messages``.
+    the input is parsed once; see ``streaming.events.route_bad_messages``. ``sent_at`` adds the
+    time the message was sent, or first received, which is the same whenever it is delivered.
     """
     raw = F.col(f"`{value}`")
     fields = T.StructType([*schema.fields, T.StructField(schemas.CORRUPT, T.StringType())])
@@ -39,6 +43,14 @@ def from_events(
         F.col("_record.attributes")["ApproximateReceiveCount"]
         .try_cast("int")
         .alias("receive_count"),
+        F.timestamp_millis(
+            F.coalesce(
+                *[
+                    F.col("_record.attributes")[name].try_cast("bigint")
+                    for name in ("SentTimestamp", "ApproximateFirstReceiveTimestamp")
+                ]
+            )
+        ).alias("sent_at"),
         F.coalesce(body, F.col("_event")).alias("body"),
         body.isNull().alias("_no_body"),
         F.from_json(
@@ -54,6 +66,7 @@ def from_events(
     return parsed.select(
         "message_id",
         "receive_count",
+        *(["sent_at"] if sent_at else []),
         "body",
         F.coalesce(bad, F.lit(True)).alias("bad"),
         *[F.col(f"_message.`{f.name}`") for f in schema.fields],

@@ -55,14 +55,23 @@ def join_results(
     upsert: bool = False,
     one_per_file: bool = True,
     unreadable_path: str | None = None,
+    by_file_age: bool = False,
 ) -> DataFrame:
     """All stored records to one table, and their accessible share to the history.
 
     Of several records under one key the one of the last scan, written last, counts. A record
     whose date cannot be read is as old as its file; records dated after ``as_of`` are left for
     a later run. Unreadable records go to ``unreadable_path``, where one is named.
+
+    ``by_file_age`` trusts that a file is not older than the scan it holds: files from before the first
+    day retained, less a day for time zones, are left out when they are listed and never opened.
     """
-    readable, unreadable = split_unreadable(read_record_files(spark, record_dir, one_per_file=one_per_file))
+    since = None
+    if by_file_age:
+        day = F.date_format(F.date_sub(as_of.cast("date"), days + 1), "yyyy-MM-dd'T'00:00:00")
+        since = spark.range(1).select(day).first()[0]
+    files = read_record_files(spark, record_dir, one_per_file=one_per_file, modified_after=since)
+    readable, unreadable = split_unreadable(files)
     if unreadable_path:
         unreadable.write.mode("overwrite").parquet(unreadable_path)
     records = retain(

@@ -8,9 +8,10 @@ from siteledger.operators import records, scan
 from siteledger.operators.tree_scan import TREE_RULES, scan_trees
 from siteledger.plans import results
 from siteledger.plans.case_queries import _filled, _sites, _values
-from siteledger.plans.queries import _RECORDS_SQL, ORACLES, _records, query, table
+from siteledger.plans.queries import _RECORDS_SQL, _STREAM_SCHEMA, ORACLES, _records, query, table
 from siteledger.session import scratch_path
-from siteledger.sources import history as history_io
+from siteledger.sources import history as history_io, records as record_io, removal
+from siteledger.streaming import events as stream_events, folders, receives, state
 
 # --- records over time --------------------------------------------------------------------
 
@@ -102,3 +103,105 @@ def tree_page_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = scan_trees(table(spark, sf_dir, "pages"), include_warnings=True, keep=["page_id"])
     per_page = scan.explode_issues(scanned).groupBy("code", "type", "page_id").agg(F.count("*").alias("n"))
     return per_page.groupBy("code", "type").agg(F.sum("n").alias("n_issues"), F.count("*").alias("n_pages"))
+
+
+# --- versions and retention ---------------------------------------------------------------
+
+
+@query(
+    "record_versions",
+    f"""WITH {_RECORDS_SQL},
+half AS (SELECT * FROM recs WHERE event_id % 2 = 0 QUALIFY row_number() OVER (
+  PARTITION BY agency, organization, domain, subdomain ORDER BY event_id DESC) = 1)
+SELECT 1 AS version, agency, scan_date, count(*) AS n_records, sum(n) AS n_errors FROM half GROUP BY 2, 3
+UNION ALL SELECT 2, agency, scan_date, count(*), sum(n) FROM cur GROUP BY 2, 3""",
+)
+def record_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of the joiner leave two versions of its table, both readable."""
+    rows, path = _records(spark, sf_dir), scratch_path(spark, "data")
+    for found in (rows.filter("event_id % 2 = 0"), rows):
+        record_io.write_records(records.latest_records(found, "event_id").drop("event_id"), path)
+
+    def counts(version: int) -> DataFrame:
+        return record_io.read_records(spark, path, version).groupBy(F.lit(version).alias("version"), "agency", "scan_date").agg(
+            F.count("*").alias("n_records"), F.sum("number_of_errors").alias("n_errors")
+        )
+
+    return counts(1).unionAll(counts(2))
+
+
+@query(
+    "expired_records",
+    f"""WITH {_RECORDS_SQL}
+SELECT scan_date, count(*) AS n_records FROM recs
+WHERE scan_date >= (SELECT max(scan_date) FROM recs) - 10 GROUP BY 1""",
+)
+def expired_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose expired dates were removed by a written plan."""
+    rows, path, plan = _records(spark, sf_dir), scratch_path(spark, "dated"), scratch_path(spark, "plan")
+    rows.drop("issues").hint("rebalance", "scan_date").write.partitionBy("scan_date").parquet(path)
+    last = rows.agg(F.max("scan_date")).first()[0]
+    removal.expired_folders(spark, path, "scan_date", last, records.RECORD_RETENTION_DAYS, plan)
+    removal.remove_planned(spark, plan)
+    return spark.read.parquet(path).groupBy("scan_date").agg(F.count("*").alias("n_records"))
+
+
+# --- streams ------------------------------------------------------------------------------
+
+
+def _deliveries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """(event, n) of every message, without a count of its own, and a folder for them to arrive in."""
+    n = F.col("event_id")
+    body = F.when(n % 7 == 0, F.concat(F.lit('{"agency": '), n)).otherwise(
+        F.to_json(F.struct(
+            F.col("event_type").alias("agency"), F.concat(F.lit("user"), "user_id").alias("domain"),
+            n.alias("seq"), F.to_date("ts").alias("scan_date"),
+        ))
+    )
+    sent = F.create_map(F.lit("SentTimestamp"), F.unix_millis(F.col("ts").cast("timestamp")).cast("string"))
+    record = F.struct(n.cast("string").alias("messageId"), body.alias("body"), sent.alias("attributes"))
+    event = F.to_json(F.struct(F.array(record).alias("Records")))
+    return table(spark, sf_dir, "events").select(event.alias("value"), n.alias("n")), scratch_path(spark, "arrivals")
+
+
+@query(
+    "stream_receives",
+    """SELECT 'dead' AS kind, CAST(event_id AS VARCHAR) AS id,
+  CASE event_id % 5 WHEN 0 THEN 3 WHEN 1 THEN 2 ELSE 1 END AS number
+FROM events WHERE event_id % 7 = 0 OR event_id % 5 = 0
+UNION ALL SELECT 'kept', event_type || ' user' || user_id, max(event_id) FROM events WHERE event_id % 7 <> 0 GROUP BY 2""",
+)
+def stream_receives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages delivered once, twice or three times in different runs, counted by the stream."""
+    messages, arrivals = _deliveries(spark, sf_dir)
+    target, dead, checkpoint = (scratch_path(spark, name) for name in ("state", "dead", "checkpoint"))
+    keys = ["agency", "domain"]
+    for again in (messages, messages.filter("n % 5 < 2"), messages.filter("n % 5 = 0")):
+        again.select("value").write.mode("append").text(arrivals)
+        stream = stream_events.stream_events(spark, arrivals, _STREAM_SCHEMA, one_per_file=False, sent_at=True)
+        receives.consume_counted(stream, target, dead, checkpoint, keys, "seq", delay="365 days")
+    kept = state.read_latest(spark, target, _STREAM_SCHEMA, keys, "seq")
+    return receives.read_counted(spark, dead).select(
+        F.lit("dead").alias("kind"), F.col("message_id").alias("id"), F.col("receive_count").alias("number")
+    ).unionAll(kept.select(F.lit("kept"), F.concat_ws(" ", *keys), "seq"))
+
+
+@query(
+    "stream_folders",
+    """SELECT event_type AS agency, 'user' || user_id AS domain, max(event_id) AS seq,
+  arg_max(CAST(ts AS DATE), event_id) AS scan_date
+FROM events WHERE event_id % 7 <> 0 GROUP BY 1, 2""",
+)
+def stream_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages streamed in three runs into state kept in folders by key; the last run's batch runs twice."""
+    messages, arrivals = _deliveries(spark, sf_dir)
+    target, checkpoint, keys = scratch_path(spark, "state"), scratch_path(spark, "checkpoint"), ["agency", "domain"]
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        for _ in range(2):
+            folders.upsert_folders(batch.filter("NOT bad"), target, batch_id, _STREAM_SCHEMA, keys, "seq", folders=8)
+
+    for part in range(3):
+        messages.filter(F.col("n") % 3 == part).select("value").write.mode("append").text(arrivals)
+        state.run_available(stream_events.stream_events(spark, arrivals, _STREAM_SCHEMA, one_per_file=False), checkpoint, on_batch)
+    return folders.read_folders(spark, target, _STREAM_SCHEMA)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from siteledger import schemas
 from siteledger.operators.records import to_files
 from siteledger.sources.files import prefix_path
+from siteledger.sources.versions import read_version, write_version
 
 
 def read_record_files(
@@ -19,13 +20,15 @@ def read_record_files(
     suffix: str = ".json",
     one_per_file: bool = True,
     prefixes: Sequence[str] | None = None,
+    modified_after: str | None = None,
 ) -> DataFrame:
     """Stored records below one or several folders, as text columns.
 
     Files are listed recursively and matched by the end of their name; each is read by a
     task, and none is collected. ``one_per_file`` reads a file as one JSON document,
     otherwise as one record per line. ``written_at`` is the time of the file. ``prefixes``
-    names the starts of the keys to read; those that no file has are left out.
+    names the starts of the keys to read; those that no file has are left out. Files not written
+    after ``modified_after`` (``yyyy-MM-ddTHH:mm:ss``) are left out when files are listed, and never opened.
     """
     fields = T.StructType([*schemas.SCAN_FILE, T.StructField(schemas.CORRUPT, T.StringType())])
     roots = [paths] if isinstance(paths, str) else list(paths)
@@ -33,7 +36,7 @@ def read_record_files(
         found = []
         for path in (prefix_path(root, p) for root in roots for p in prefixes):
             try:
-                found.append(read_record_files(spark, path, suffix, one_per_file))
+                found.append(read_record_files(spark, path, suffix, one_per_file, modified_after=modified_after))
             except AnalysisException as e:
                 if e.getCondition() != "PATH_NOT_FOUND":
                     raise
@@ -48,26 +51,25 @@ def read_record_files(
             columnNameOfCorruptRecord=schemas.CORRUPT,
             pathGlobFilter=f"*{suffix}",
             recursiveFileLookup=True,
+            **({"modifiedAfter": modified_after} if modified_after else {}),
         )
         .select("*", F.col("_metadata.file_modification_time").alias("written_at"))
     )
 
 
-def write_records(records: DataFrame, path: str, format: str = "parquet") -> None:
-    """All typed records as one table, partitioned by scan date for retention.
+def write_records(records: DataFrame, path: str, format: str = "parquet") -> int:
+    """All typed records as a new version of a table, partitioned by scan date for retention.
 
+    Readers see the version before until this one is whole; the number of the new one is returned.
     The rebalance lets adaptive execution give a large date several writers and put small
     ones together, so that neither huge nor tiny files arise.
     """
-    records.hint("rebalance", "scan_date").write.mode("overwrite").partitionBy(
-        "scan_date"
-    ).format(format).save(path)
+    return write_version(records.hint("rebalance", "scan_date"), path, ["scan_date"], format)
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """The consolidated table; filters on its partition columns prune folders."""
-    table = spark.read.schema(schemas.SCAN_RECORD).parquet(path)
-    return table.select(*schemas.SCAN_RECORD.names)
+def read_records(spark: SparkSession, path: str, version: int | None = None, format: str = "parquet") -> DataFrame:
+    """A version of the consolidated table, by default the newest; filters on its partition columns prune folders."""
+    return read_version(spark, path, schemas.SCAN_RECORD, version, format)
 
 
 def write_record_files(records: DataFrame, path: str) -> None:

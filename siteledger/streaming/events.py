@@ -17,12 +17,14 @@ def stream_events(
     schema: T.StructType = schemas.MESSAGE,
     one_per_file: bool = True,
     max_files: int | None = None,
+    sent_at: bool = False,
 ) -> DataFrame:
-    """Messages of the event files arriving in a folder, good and bad, as a stream."""
+    """Messages of the event files arriving in a folder, good and bad, as a stream; with
+    ``sent_at`` also when each was sent."""
     reader = spark.readStream.format("text").option("wholetext", one_per_file)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return from_events(reader.load(path), schema)
+    return from_events(reader.load(path), schema, sent_at=sent_at)
 
 
 def is_poison(max_receives: int = MAX_RECEIVES) -> Column:

@@ -144,11 +144,15 @@ def compact(
 
 
 def run_available(
-    stream: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame, int], None]
+    stream: DataFrame,
+    checkpoint: str,
+    on_batch: Callable[[DataFrame, int], None],
+    mode: str = "append",
 ) -> StreamingQuery:
     """Process everything that has arrived so far, then stop."""
     query = (
         stream.writeStream.foreachBatch(on_batch)
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
