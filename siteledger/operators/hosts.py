@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siteledger import schemas
+from siteledger.functions.punycode import written_host
 from siteledger.functions.text import clean_host_text
 from siteledger.functions.urls import host_of
 from siteledger.operators.explode import with_fields
@@ -42,19 +43,22 @@ def _match(df: DataFrame, suffixes: DataFrame) -> DataFrame:
     """Add ``_n``, the number of suffix labels of ``_host``: join the tails of the distinct hosts.
 
     Distinct hosts and suffixes are all that moves besides the rows' own hosts; Spark
-    broadcasts whichever side its size allows.
+    broadcasts whichever side its size allows. Both meet in their written form, so that an ``xn--``
+    host finds a suffix in any script and the other way round; a label stays one label.
     """
     tails = df.select("_host").distinct().select(
         "_host",
         F.expr(_LABELS).alias("_labels"),
-        F.explode(F.expr(f"sequence({_LABELS}, 1, -1)")).alias("_k"),
-    ).withColumn("_tail", F.expr("substring_index(_host, '.', -_k)"))
+        written_host(F.col("_host")).alias("_written"),
+    ).select(
+        "_host", "_labels", "_written", F.explode(F.expr("sequence(_labels, 1, -1)")).alias("_k")
+    ).withColumn("_tail", F.expr("substring_index(_written, '.', -_k)"))
     unknown = F.raise_error(F.concat(F.lit("unknown kind of suffix: "), F.col("kind")))
     kind = F.when(F.col("kind").isin(*KINDS), F.col("kind")).otherwise(unknown.cast("string"))
     is_exception = (F.col("kind") == "exception").cast("int")
     position = F.col("_k") + (F.col("kind") == "wildcard").cast("int")
     found = (
-        tails.join(suffixes.select(F.col("suffix").alias("_tail"), kind.alias("kind")), "_tail")
+        tails.join(suffixes.select(written_host(F.col("suffix")).alias("_tail"), kind.alias("kind")), "_tail")
         .filter(position <= F.col("_labels"))
         .groupBy("_host")
         .agg(F.max(position * 2 + is_exception).alias("_best"))

@@ -519,6 +519,46 @@ def seed_lists_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("site")
 
 
+# --- hosts in other scripts ---------------------------------------------------------------
+
+# (suffix, kind), as a published list writes them and as hosts do
+_WRITTEN_SUFFIXES = [
+    ("公司.cn", "plain"), ("cn", "plain"), ("みんな", "plain"), ("xn--p1ai", "plain"), ("онлайн", "wildcard"), ("город.онлайн", "exception"), ("gov", "plain"),
+]
+# (host, subdomain, domain, tld); each part in the form the host has it in
+_WRITTEN_HOSTS = [
+    ("a{n}.xn--55qx5d.cn", "", "a{n}", "xn--55qx5d.cn"),
+    ("www.a{n}.公司.cn", "www", "a{n}", "公司.cn"),
+    ("xn--55qx5d.cn", "", "", "xn--55qx5d.cn"),
+    ("XN--BCHER-KVA{n}.gov", "", "xn--bcher-kva{n}", "gov"),
+    ("s.bücher.XN--Q9JYB4C", "s", "bücher", "xn--q9jyb4c"),
+    ("a{n}.рф", "", "a{n}", "рф"),
+    ("b.a{n}.xn--p1ai", "b", "a{n}", "xn--p1ai"),
+    ("c.a{n}.xn--80asehdb", "", "c", "a{n}.xn--80asehdb"),
+    ("d.xn--c1avg{n}.онлайн", "", "d", "xn--c1avg{n}.онлайн"),
+    ("d.xn--c1ac3aaj.xn--80asehdb", "d", "xn--c1ac3aaj", "xn--80asehdb"),
+    ("a{n}.xn--.gov", "a{n}", "xn--", "gov"),
+]
+
+
+@query(
+    "written_hosts",
+    f"""WITH f(host, subdomain, domain, tld) AS (VALUES {_values(_WRITTEN_HOSTS)})
+SELECT page_id, lower(replace(host, '{{n}}', CAST(page_id AS VARCHAR))) AS host,
+  replace(subdomain, '{{n}}', CAST(page_id AS VARCHAR)) AS subdomain,
+  replace(domain, '{{n}}', CAST(page_id AS VARCHAR)) AS domain,
+  replace(tld, '{{n}}', CAST(page_id AS VARCHAR)) AS tld FROM pages, f""",
+)
+def written_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain, ``xn--`` and written hosts of every page number against suffixes in other scripts."""
+    rows = _sites(spark, sf_dir).withColumn("host", F.lit("")).select(
+        F.col("n").cast("bigint").alias("page_id"),
+        F.explode(F.array(*[_filled(host) for host, *_ in _WRITTEN_HOSTS])).alias("host"),
+    )
+    suffixes = spark.createDataFrame(_WRITTEN_SUFFIXES, schemas.SUFFIX)
+    return hosts.split_host(rows, "host", suffixes).withColumn("host", F.lower("host"))
+
+
 # --- streams ------------------------------------------------------------------------------
 
 
