@@ -451,26 +451,58 @@ def owner_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "stored_documents",
-    """SELECT n_regionkey AS region, count(*) AS n_records, 'owner=r0' AS first_owner
-FROM nation WHERE n_regionkey IN (1, 3) GROUP BY 1""",
+    """SELECT s_nationkey % 5 AS owner, count(*) AS n_records, sum(s_suppkey) AS keys, 'owner=r0' AS first_owner
+FROM supplier WHERE s_nationkey % 5 IN (1, 3) GROUP BY 1""",
 )
 def stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One document per file below prefixes with pattern characters, one of them without a file,
-    and the first file of a prefix (S4, S5, U3)."""
-    path = scratch_path(spark, "documents")
-    table(spark, sf_dir, "nation").select(
-        F.concat(F.lit("r"), "n_regionkey").alias("owner"),
-        F.col("n_regionkey").cast("string").alias("agency"), F.col("n_name").alias("domain"),
+    """One document per file for every supplier, read below prefixes with pattern characters, one of them without
+    a file, and the first file of a prefix (S4, S5, U3)."""
+    path, group = scratch_path(spark, "documents"), F.col("s_nationkey") % 5
+    table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("r"), group).alias("owner"),
+        group.cast("string").alias("agency"), F.col("s_suppkey").cast("string").alias("domain"),
     ).write.partitionBy("owner").option("maxRecordsPerFile", 1).json(f"{path}/a[1]")
     stored = record_io.read_record_files(
         spark, path, prefixes=["a[1]/owner=r1", "a[1]/owner=r3", "a[9]"]
     )
-    owner = F.lit(files.first_file(spark, path, "a[1]/").split("/")[-2])
-    return stored.groupBy(F.col("agency").cast("int").alias("region")).agg(
-        F.count("*").alias("n_records"), F.first(owner).alias("first_owner")
+    first = F.lit(files.first_file(spark, path, "a[1]/").split("/")[-2])
+    return stored.groupBy(F.col("agency").cast("int").alias("owner")).agg(
+        F.count("*").alias("n_records"), F.sum(F.col("domain").cast("bigint")).alias("keys"),
+        F.first(first).alias("first_owner"),
     )
 
 
+@query(
+    "rejected_rows",
+    """SELECT CASE c_custkey % 4 WHEN 1 THEN 'rejected' ELSE 'read' END AS kind, c_custkey % 2 = 0 AS in_lines,
+  CASE c_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'c' || c_custkey || ',a,b,o,more,x,y' ELSE 'o,"' || c_custkey END AS detail
+FROM customer""",
+)
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registry rows with too many fields, with too few, and with quotes and commas, in a file with line breaks inside
+    fields and in one without (S1, S3, X8)."""
+    n, both = F.col("c_custkey"), None
+    for breaks in (False, True):
+        path = scratch_path(spark, "registry")
+        owner = F.concat(F.lit('a\nb' if breaks else "a"))
+        fields = [F.lit("b"), F.concat(F.lit('"o,""'), n, F.lit('"""'))]
+        line = F.concat_ws(
+            ",", F.concat(F.lit("c"), n),
+            F.when(n % 4 == 0, "t").when(n % 4 == 1, "a,b,o,more").otherwise(F.concat_ws(",", F.concat(F.lit('"'), owner, F.lit('"')), *fields)),
+            F.when(n % 4 == 1, "x,y"),
+        )
+        lines = table(spark, sf_dir, "customer").filter((n % 2 == 0) != breaks).select(line.alias("value"))
+        header = spark.createDataFrame([("Domain Name,Domain Type,Agency,Organization",)], "value string")
+        header.unionAll(lines).coalesce(1).write.text(path)
+        found = lists.read_registry(spark, path, hosts.default_suffixes(spark)).select(
+            F.lit("read").alias("kind"), F.lit(not breaks).alias("in_lines"), F.rtrim(F.col("Organization"), F.lit('"')).alias("detail")
+        )
+        torn = lists.rejected_rows(spark, path).select(F.lit("rejected"), F.lit(not breaks), F.concat("record", F.lit(",x,y")))
+        found = found.unionAll(torn)
+        both = found if both is None else both.unionAll(found)
+    return both
+
+
 @query(
     "line_breaks",
     """SELECT 'registry' AS file, 's' || s_suppkey AS name, s_name || chr(10) || 'office "' || s_nationkey || '"' AS owner

@@ -1154,23 +1154,23 @@ def scan_record_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "stored_files",
-    """SELECT n_regionkey AS region, count(*) AS n_records FROM nation
-WHERE n_regionkey IN (0, 1, 3) GROUP BY 1""",
+    """SELECT c_nationkey AS nation, count(*) AS n_records, count(DISTINCT c_name) AS n_sites FROM customer
+WHERE c_nationkey // 10 = 1 OR c_nationkey IN (3, 7) GROUP BY 1""",
 )
 def stored_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Record files by several prefixes and a name ending, then read in bulk."""
     path = scratch_path(spark, "stored")
-    nations = table(spark, sf_dir, "nation")
-    nations.select(
-        F.concat(F.lit("r"), "n_regionkey").alias("owner"),
-        F.col("n_regionkey").cast("string").alias("agency"),
-        F.col("n_name").alias("domain"),
+    owner = F.format_string("r%02d", F.col("c_nationkey"))
+    table(spark, sf_dir, "customer").select(
+        owner.alias("owner"),
+        F.col("c_nationkey").cast("string").alias("agency"),
+        F.col("c_name").alias("domain"),
     ).write.partitionBy("owner").json(path)
     stored = record_io.read_record_files(
-        spark, path, one_per_file=False, prefixes=["owner=r0", "owner=r1", "owner=r3"]
+        spark, path, one_per_file=False, prefixes=["owner=r1", "owner=r03", "owner=r07", "owner=r9"]
     )
-    return stored.groupBy(F.col("agency").cast("int").alias("region")).agg(
-        F.count("*").alias("n_records")
+    return stored.groupBy(F.col("agency").cast("int").alias("nation")).agg(
+        F.count("*").alias("n_records"), F.countDistinct("domain").alias("n_sites")
     )
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from siteledger.functions.messages import issue_count
 from siteledger.operators.records import (
     RECORD_RETENTION_DAYS,
     accessible_share,
@@ -16,6 +17,7 @@ from siteledger.operators.records import (
     split_unreadable,
 )
 from siteledger.operators.scan import scan_pages, scan_records
+from siteledger.session import materialize, scratch_path
 from siteledger.sources.history import append_history
 from siteledger.sources.pages import is_laid_out, pages_of
 from siteledger.sources.records import read_record_files, read_records, write_records
@@ -71,9 +73,17 @@ def join_results(
         day = F.date_format(F.date_sub(as_of.cast("date"), days + 1), "yyyy-MM-dd'T'00:00:00")
         since = spark.range(1).select(day).first()[0]
     files = read_record_files(spark, record_dir, one_per_file=one_per_file, modified_after=since)
-    readable, unreadable = split_unreadable(files)
     if unreadable_path:
-        unreadable.write.mode("overwrite").parquet(unreadable_path)
+        # read and judged once: one write, a folder for either kind
+        judged = materialize(
+            files.withColumn("readable", issue_count(F.col("issues")).isNotNull()),
+            scratch_path(spark, "record-files"),
+            "readable",
+        )
+        judged.filter("NOT readable").drop("readable").write.mode("overwrite").parquet(unreadable_path)
+        readable = judged.filter("readable").drop("readable")
+    else:
+        readable, _ = split_unreadable(files)
     records = retain(
         from_files(readable, ["written_at"]).withColumn(
             "scan_date", F.coalesce("scan_date", F.to_date("written_at"))

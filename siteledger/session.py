@@ -55,13 +55,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/siteledger/{uuid.uuid4().hex}/{name}"
 
 
-def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` once and read it back.
+def materialize(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
+    """Write ``df`` once, in folders by the named columns, and read it back.
 
     The written files survive lost executors, end the lineage, and give the planner true
     sizes, so that it broadcasts the result only when it is known to be small.
     """
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

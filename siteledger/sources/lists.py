@@ -35,10 +35,48 @@ def _with_order(df: DataFrame, source_idx: int = 0) -> DataFrame:
     )
 
 
-def read_registry(spark: SparkSession, path: str, suffixes: DataFrame) -> DataFrame:
-    """The site registry, with host parts and row order. Other columns are ignored."""
+#: What a row holds beyond the last column of the header.
+_BEYOND = "_beyond"
+
+
+def has_line_breaks(spark: SparkSession, path: str) -> bool:
+    """Some line holds an odd number of quotes, as one does where a quoted field goes on in the next."""
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit(QUOTE), F.lit("")))
+    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+
+
+def _read_rows(spark: SparkSession, path: str, line_breaks: bool | None) -> DataFrame:
+    """The rows of a delimited file by header name, ``_BEYOND`` where a row has too many fields.
+
+    Files are split over tasks unless fields hold line breaks; with None a pass over the lines tells.
+    """
+    names = spark.read.csv(path, header=True, escape=QUOTE).columns
+    fields = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _BEYOND]])
+    whole = has_line_breaks(spark, path) if line_breaks is None else line_breaks
+    rows = spark.read.csv(path, schema=fields, header=True, escape=QUOTE, multiLine=whole, mode="PERMISSIVE")
+    return _with_order(rows)
+
+
+def rejected_rows(spark: SparkSession, path: str, line_breaks: bool | None = None) -> DataFrame:
+    """Rows of a registry or inventory file with more fields than its header, as ``record``, with
+    their place. ``read_registry`` and ``read_inventory`` leave them out; a row with fewer fields is
+    no error, what it lacks is NULL."""
+    rows = _read_rows(spark, path, line_breaks)
+    names = [c for c in rows.columns if c not in ORDER]
+    torn = rows.filter(F.col(_BEYOND).isNotNull())
+    return torn.select(F.to_csv(F.struct(*[F.col(f"`{c}`") for c in names])).alias("record"), *ORDER)
+
+
+def read_registry(
+    spark: SparkSession, path: str, suffixes: DataFrame, line_breaks: bool | None = None
+) -> DataFrame:
+    """The site registry, with host parts and row order. Other columns are ignored.
+
+    Rows with too many fields are left out; ``rejected_rows`` has them. ``line_breaks`` says whether
+    quoted fields go over several lines, which makes a file one task; by default the file is asked.
+    """
     # Columns are found by name in the header, whatever their order in the file.
-    raw = _with_order(spark.read.csv(path, header=True, escape=QUOTE, multiLine=True)).select(
+    raw = _read_rows(spark, path, line_breaks).filter(F.col(_BEYOND).isNull()).select(
         *[F.col(f"`{n}`") for n in schemas.REGISTRY.names], *ORDER
     )
     cleaned = raw.withColumn("Domain Name", clean_host_text(F.col("`Domain Name`")))
@@ -101,9 +139,10 @@ def read_suffixes(spark: SparkSession, path: str, private: bool = False) -> Data
     )
 
 
-def read_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """S3: the inventory by header name, in file order; blank lines are ignored."""
-    raw = _with_order(spark.read.csv(path, header=True, escape=QUOTE, multiLine=True))
+def read_inventory(spark: SparkSession, path: str, line_breaks: bool | None = None) -> DataFrame:
+    """S3: the inventory by header name, in file order; blank lines are ignored. Rows with too many
+    fields are left out, and ``line_breaks`` is as in ``read_registry``."""
+    raw = _read_rows(spark, path, line_breaks).filter(F.col(_BEYOND).isNull())
     names = [n for n in schemas.INVENTORY.names if n in raw.columns]
     return raw.select(*[F.col(f"`{n}`") for n in names], *ORDER)
 
