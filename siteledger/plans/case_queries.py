@@ -451,7 +451,7 @@ def owner_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "stored_documents",
-    """SELECT s_nationkey % 5 AS owner, count(*) AS n_records, sum(s_suppkey) AS keys, 'owner=r0' AS first_owner
+    """SELECT s_nationkey % 5 AS owner, count(*) AS n_records, CAST(sum(s_suppkey) AS BIGINT) AS keys, 'owner=r0' AS first_owner
 FROM supplier WHERE s_nationkey % 5 IN (1, 3) GROUP BY 1""",
 )
 def stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

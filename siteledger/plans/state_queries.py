@@ -113,8 +113,8 @@ def tree_page_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {_RECORDS_SQL},
 half AS (SELECT * FROM recs WHERE event_id % 2 = 0 QUALIFY row_number() OVER (
   PARTITION BY agency, organization, domain, subdomain ORDER BY event_id DESC) = 1)
-SELECT 1 AS version, agency, scan_date, count(*) AS n_records, sum(n) AS n_errors FROM half GROUP BY 2, 3
-UNION ALL SELECT 2, agency, scan_date, count(*), sum(n) FROM cur GROUP BY 2, 3""",
+SELECT 1 AS version, agency, scan_date, count(*) AS n_records, CAST(sum(n) AS BIGINT) AS n_errors FROM half GROUP BY 2, 3
+UNION ALL SELECT 2, agency, scan_date, count(*), CAST(sum(n) AS BIGINT) FROM cur GROUP BY 2, 3""",
 )
 def record_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs of the joiner leave two versions of its table, both readable."""
