@@ -13,7 +13,7 @@ from tests.llm.test_tokens import _check_packing, _pieces
 
 def test_queries_are_registered():
     names = entry_points.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
 
 
 def test_stages_against_plain_versions(spark, sf_dir):
