@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -15,7 +16,7 @@ from siteledger.llm.common import doc_rows, saved, slices
 from siteledger.llm.tokens import WORD_BPE, word_encoder
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-#: Pieces packed together. More would not pack better; each group leaves one underfull sequence at most.
+#: Pieces packed together. Groups are numbered in 24 bits of a sequence's number.
 GROUP = 16_384
 
 
@@ -58,11 +59,24 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
+def _pairs(by_length: dict[int, list[int]]) -> list[tuple[int, int, int]]:
+    """(sum, length, length) of all pairs of documents of a bin that differ in their lengths, by sum."""
+    lengths = sorted(by_length)
+    found = [(a + b, a, b) for n, a in enumerate(lengths) for b in lengths[n + 1 :]]
+    return sorted(found + [(2 * a, a, a) for a in lengths if len(by_length[a]) > 1])
+
+
+def _largest(values: list, most: int) -> int:
+    """Place of the last value, or tuple that begins with one, up to ``most``; -1 without one."""
+    return bisect_right(values, most, key=lambda v: v[0] if isinstance(v, tuple) else v) - 1
+
+
 def empty_bins(bins: list[list[int]], lengths: np.ndarray, capacity: int, stuck_after: int = 8, most_steps: int = 2_000) -> list[list[int]]:
     """Local search between underfull bins until bins empty.
 
     From the emptiest bin towards fuller ones: move a document; exchange one for a shorter one;
-    two for one, or one for two, where the fuller bin gains and does not overflow. Every step
+    two for one, or one for two, where the fuller bin gains and does not overflow. Documents of one
+    length are alike, and a bin has few lengths, so all exchanges are looked at. Every step
     moves tokens from a bin to one at least as full, so the sum of squared fills rises and the
     search ends. It stops at the least number of bins the total allows, when the ``stuck_after``
     emptiest bins have no such step, or after ``most_steps``.
@@ -71,33 +85,44 @@ def empty_bins(bins: list[list[int]], lengths: np.ndarray, capacity: int, stuck_
     fill = [sum(size[i] for i in b) for b in bins]
     least = -(-sum(size) // capacity)
     alive = {k for k in range(len(bins)) if fill[k]}
+    kinds: dict[int, dict[int, list[int]]] = {}
+
+    def of(k: int) -> dict[int, list[int]]:
+        """The documents of a bin by length."""
+        if k not in kinds:
+            kinds[k] = {}
+            for i in bins[k]:
+                kinds[k].setdefault(size[i], []).append(i)
+        return kinds[k]
 
     def step(low: int, others: list[int]) -> bool:
-        mine = sorted(bins[low], key=size.__getitem__, reverse=True)
-        pairs = [(a, b) for n, a in enumerate(mine[:24]) for b in mine[n + 1 : 24]]
+        mine = sorted(of(low))
+        pairs = _pairs(of(low))
         for high in others:
             room = capacity - fill[high]
             best: tuple[int, tuple[int, ...], tuple[int, ...]] = (0, (), ())
-            for a in mine:
-                if best[0] < size[a] <= room:
-                    best = (size[a], (a,), ())
-            theirs = bins[high]
-            for b in theirs:
-                for a in mine:
-                    if best[0] < size[a] - size[b] <= room:
-                        best = (size[a] - size[b], (a,), (b,))
-                for a, c in pairs:
-                    if best[0] < size[a] + size[c] - size[b] <= room:
-                        best = (size[a] + size[c] - size[b], (a, c), (b,))
-            for n, b in enumerate(theirs[:24]):
-                for c in theirs[n + 1 : 24]:
-                    for a in mine:
-                        if best[0] < size[a] - size[b] - size[c] <= room:
-                            best = (size[a] - size[b] - size[c], (a,), (b, c))
+            if (at := _largest(mine, room)) >= 0:
+                best = (mine[at], (mine[at],), ())
+            theirs = sorted(of(high))
+            for b in theirs if best[0] < room else ():
+                at = _largest(mine, room + b)
+                if at >= 0 and mine[at] - b > best[0]:
+                    best = (mine[at] - b, (mine[at],), (b,))
+                at = _largest(pairs, room + b)
+                if at >= 0 and pairs[at][0] - b > best[0]:
+                    best = (pairs[at][0] - b, pairs[at][1:], (b,))
+            for total, b, c in _pairs(of(high)) if best[0] < room else ():
+                at = _largest(mine, room + total)
+                if at >= 0 and mine[at] - total > best[0]:
+                    best = (mine[at] - total, (mine[at],), (b, c))
             if best[0]:
                 gain, give, take = best
-                bins[low] = [i for i in bins[low] if i not in give] + list(take)
-                bins[high] = [i for i in bins[high] if i not in take] + list(give)
+                for source, target, moved in ((low, high, give), (high, low, take)):
+                    for length in moved:
+                        item = of(source)[length].pop()
+                        if not of(source)[length]:
+                            del of(source)[length]
+                        of(target).setdefault(length, []).append(item)
                 fill[low] -= gain
                 fill[high] += gain
                 return True
@@ -117,7 +142,7 @@ def empty_bins(bins: list[list[int]], lengths: np.ndarray, capacity: int, stuck_
                 alive.discard(low)
         else:
             stuck.add(low)
-    return [bins[k] for k in sorted(alive)]
+    return [[i for same in kinds[k].values() for i in same] if k in kinds else bins[k] for k in sorted(alive)]
 
 
 def pack(docs: DataFrame, capacity: int = 4096, tokenizer: str = WORD_BPE, group: int = GROUP) -> DataFrame:
@@ -126,27 +151,45 @@ def pack(docs: DataFrame, capacity: int = 4096, tokenizer: str = WORD_BPE, group
     Returns (doc_id, piece, start, length, ids_crc32, sequence_id, offset), a row for each piece;
     only documents longer than a sequence are cut. Texts are encoded where they are read; what
     moves is a few numbers per piece. Pieces are dealt evenly over groups of about ``group``,
-    whatever their sources or ids, each packed by best fit and then by local search; a group ends
-    with one underfull sequence or so, so the loss against one packing of everything is about one
-    sequence in several thousand.
+    whatever their sources or ids, each packed by best fit and then by local search. The emptiest
+    sequence of each group is opened again, and the pieces of these are packed in the same way, until one group
+    is left, so that not every group ends with a sequence half full.
 
     Null and empty texts hold the end id only. Repeated rows and null ids are packed like any
     other; an empty table gives no rows.
     """
-    pieces = saved(token_pieces(docs, capacity, tokenizer), "pieces")
-    groups = max(1, -(-pieces.count() // group))
-
+    rows = saved(token_pieces(docs, capacity, tokenizer), "pieces")
+    groups = max(1, -(-rows.count() // group))
+    done, level = None, 0
+    while True:
+        dealt = rows.withColumn("unit", F.pmod(F.monotonically_increasing_id(), F.lit(groups)).cast("int"))
+        packed = dealt.groupBy("unit").applyInPandas(_filler(capacity, level, groups > 1), PIECES + ", sequence_id bigint, offset bigint, again boolean")
+        if groups == 1:
+            kept = packed.drop("again")
+            return kept if done is None else done.unionByName(kept)
+        packed = saved(packed, f"packed-{level}")
+        kept, rows = packed.where("NOT again").drop("again"), packed.where("again").drop("again", "sequence_id", "offset")
+        done = kept if done is None else done.unionByName(kept)
+        # a sequence opened again holds at most ``capacity`` pieces, so there are fewer groups each time
+        groups = min(groups - 1, max(1, -(-rows.count() // group)))
+        level += 1
+
+
+def _filler(capacity: int, level: int, open_last: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def fill_bins(part: pd.DataFrame) -> pd.DataFrame:
         lengths = part["length"].to_numpy()
         bins = empty_bins(best_fit(lengths, capacity), lengths, capacity)
+        fills = [int(lengths[items].sum()) for items in bins]
+        emptiest = min(range(len(bins)), key=fills.__getitem__)
         sequence, offset = np.empty(len(part), np.int64), np.empty(len(part), np.int64)
+        again = np.zeros(len(part), dtype=bool)
         for number, items in enumerate(bins):
             at = 0
             for item in items:
                 sequence[item], offset[item] = number, at
                 at += lengths[item]
+            again[items] = open_last and number == emptiest and fills[number] < capacity
         unit = int(part["unit"].iloc[0])
-        return part.drop(columns="unit").assign(sequence_id=sequence + (unit << 32), offset=offset)
+        return part.drop(columns="unit").assign(sequence_id=sequence + (unit << 32) + (level << 56), offset=offset, again=again)
 
-    dealt = pieces.withColumn("unit", F.pmod(F.monotonically_increasing_id(), F.lit(groups)).cast("int"))
-    return dealt.groupBy("unit").applyInPandas(fill_bins, PIECES + ", sequence_id bigint, offset bigint")
+    return fill_bins

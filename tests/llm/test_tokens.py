@@ -169,3 +169,32 @@ def test_group_size_is_documented():
 def test_long_white_space_is_counted(text):
     library = tokens.load(tokens.BYTE_BPE)
     assert tokens.counter(tokens.BYTE_BPE).count(text) == len(library.encode(text, add_special_tokens=False).ids)
+
+
+def test_groups_end_in_common_sequences(spark):
+    """Many groups of short documents take no more sequences than one packing of everything, or one more."""
+    docs = spark.createDataFrame([(k, "a " * (k % 7)) for k in range(2_000)], "doc_id bigint, text string").repartition(4)
+    lengths = sorted(r.length for r in token_pieces(docs, 64).collect())
+    least = -(-sum(lengths) // 64)
+    for group in (100, 300, 5_000):
+        placed = pack(docs, 64, group=group).collect()
+        _check_packing(placed, _pieces(docs.collect(), 64), 64)
+        assert len({r.sequence_id for r in placed}) <= least + 1
+
+
+def test_search_looks_at_every_exchange():
+    """Two for one and one for two among the shortest of many documents of a bin."""
+    lengths = np.array([50 + k for k in range(30)] + [1] * 40 + [33, 34, 67], dtype=np.int64)
+    for seed in range(20):
+        order = np.random.default_rng(seed).permutation(len(lengths))
+        bins, room, now = [], 200, []
+        for i in order.tolist():  # first come, first packed: many underfull bins
+            if lengths[i] > room:
+                bins, room, now = [*bins, now], 200, []
+            now.append(i)
+            room -= int(lengths[i])
+        bins.append(now)
+        found = empty_bins(bins, lengths, 200)
+        assert sorted(i for b in found for i in b) == list(range(len(lengths)))
+        assert all(sum(lengths[i] for i in b) <= 200 for b in found) and len(found) <= len(bins)
+        assert len(found) == -(-int(lengths.sum()) // 200)
