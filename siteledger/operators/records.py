@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from siteledger import schemas
-from siteledger.functions.messages import date_text, issue_count
+from siteledger.functions.messages import date_text, issue_count, list_length, scan_result
 from siteledger.functions.urls import record_key
 from siteledger.operators.dedupe import latest_per_key
+from siteledger.operators.explode import with_fields
 
 RECORD_KEYS = ("agency", "organization", "domain", "subdomain")
 RECORD_RETENTION_DAYS = 10
@@ -142,18 +143,17 @@ def split_unreadable(files: DataFrame, issues: str = "issues") -> tuple[DataFram
 def from_files(files: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Typed records from the stored form, whose issues are JSON inside a text. ``keep``
     names further columns to carry, such as ``written_at``."""
-    parsed = files.withColumn("_result", F.from_json("issues", schemas.SCAN_RESULT))
+    parsed = with_fields(files, {"_result": scan_result(F.col("issues"))})
+    result, no_issues = F.col("_result"), F.array().cast(schemas.SCAN_RESULT["issues"].dataType)
     return parsed.select(
         "agency",
         "organization",
         "domain",
         "subdomain",
-        issue_count(F.col("issues")).alias("number_of_errors"),
+        F.when(result.isNotNull(), list_length(result["issues"])).alias("number_of_errors"),
         F.col("routeableUrl").alias("routeable_url"),
         F.col("_result.documentTitle").alias("document_title"),
-        F.coalesce("_result.issues", F.array().cast(schemas.SCAN_RESULT["issues"].dataType)).alias(
-            "issues"
-        ),
+        F.coalesce(F.from_json(result["issues"], schemas.SCAN_RESULT["issues"].dataType), no_issues).alias("issues"),
         F.col("scanDate").try_cast("date").alias("scan_date"),
         *keep,
     )

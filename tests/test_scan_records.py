@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siteledger import schemas
+from siteledger.functions.messages import issue_count
 from siteledger.operators import links, records, scan
 from siteledger.plans import results
 from siteledger.sources import files, history, records as record_io
@@ -245,3 +246,9 @@ def test_list_files(spark, tmp_path):
     assert names(files.list_files(spark, root, ["a/", "c", "none"], ".json")) == ["a/b/x.json", "c/w.json"]
     assert files.first_file(spark, root, "hist").endswith("/hist-old.json")
     assert files.first_file(spark, root, "nothing") is None
+
+
+def test_results_that_are_no_object_have_no_count(spark):
+    texts = ['{"issues":[1,[2],{"a":"]"}]}', '{"issues":"[1,2]"}', "{}", '{"issues":{}}', '{"issues":[1]} x', '{"issues":[', "[]", '"{}"', "null", "", None]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").orderBy("k")
+    assert [r[0] for r in frame.select(issue_count(F.col("t"))).collect()] == [3, 2, 0, 0, 1] + [None] * 6
