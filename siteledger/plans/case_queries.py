@@ -448,6 +448,9 @@ def owner_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- files --------------------------------------------------------------------------------
 
+#: Files of one document that a task writes; each costs milliseconds, whatever is in it.
+_DOCUMENTS_A_TASK = 100
+
 
 @query(
     "stored_documents",
@@ -458,10 +461,13 @@ def stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One document per file for every supplier, read below prefixes with pattern characters, one of them without
     a file, and the first file of a prefix (S4, S5, U3)."""
     path, group = scratch_path(spark, "documents"), F.col("s_nationkey") % 5
-    table(spark, sf_dir, "supplier").select(
+    rows = table(spark, sf_dir, "supplier").select(
         F.concat(F.lit("r"), group).alias("owner"),
         group.cast("string").alias("agency"), F.col("s_suppkey").cast("string").alias("domain"),
-    ).write.partitionBy("owner").option("maxRecordsPerFile", 1).json(f"{path}/a[1]")
+    )
+    # a table in one file is read by one task, which would then write every document alone
+    tasks = max(1, -(-rows.count() // _DOCUMENTS_A_TASK))
+    rows.repartition(tasks).write.partitionBy("owner").option("maxRecordsPerFile", 1).json(f"{path}/a[1]")
     stored = record_io.read_record_files(
         spark, path, prefixes=["a[1]/owner=r1", "a[1]/owner=r3", "a[9]"]
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from siteledger import schemas
 from siteledger.functions.messages import issue_count
 from siteledger.operators import links, records, scan
-from siteledger.plans import results
+from siteledger.plans import case_queries, results
 from siteledger.sources import files, history, records as record_io
 from tests.conftest import rows
 
@@ -252,3 +252,17 @@ def test_results_that_are_no_object_have_no_count(spark):
     texts = ['{"issues":[1,[2],{"a":"]"}]}', '{"issues":"[1,2]"}', "{}", '{"issues":{}}', '{"issues":[1]} x', '{"issues":[', "[]", '"{}"', "null", "", None]
     frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").orderBy("k")
     assert [r[0] for r in frame.select(issue_count(F.col("t"))).collect()] == [3, 2, 0, 0, 1] + [None] * 6
+
+
+def test_stored_documents_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    keys = range(1, 251)
+    spark.createDataFrame([(k, k % 25) for k in keys], "s_suppkey bigint, s_nationkey int").coalesce(1).write.parquet(
+        str(tmp_path / "supplier.parquet")
+    )
+    monkeypatch.setattr(case_queries, "scratch_path", lambda spark, name: str(tmp_path / name))
+    got = rows(case_queries.stored_documents(spark, str(tmp_path)))
+    assert got == [
+        (owner, 50, sum(k for k in keys if k % 5 == owner), "owner=r0") for owner in (1, 3)
+    ]
+    names = [p.name for p in (tmp_path / "documents").rglob("*.json")]
+    assert len(names) == 250 and len({n.split("-")[1] for n in names}) > 1
