@@ -64,6 +64,20 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 8
             start = stop
 
 
+_memo: list[dict] = []
+
+
+def only_memo(memo: dict | None = None) -> None:
+    """To be called by a task before its first row: from now on its worker remembers words in ``memo`` alone, or in none.
+
+    Spark hands a worker on from stage to stage, so the memos of all operators that it has run would add up.
+    """
+    for other in _memo:
+        if other is not memo:
+            other.clear()
+    _memo[:] = [] if memo is None else [memo]
+
+
 class WordCodes(dict):
     """Bytes of a word to its XXH64; kept only for recent words, as it must not grow with the corpus."""
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siteledger.llm.common import doc_rows, saved, slices
+from siteledger.llm.common import doc_rows, only_memo, saved, slices
 from siteledger.llm.tokens import WORD_BPE, word_encoder
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -24,10 +24,11 @@ def token_pieces(docs: DataFrame, capacity: int, tokenizer: str = WORD_BPE, end_
     """Documents as runs of at most ``capacity`` ids, ``end_id`` behind each document's own."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end, width = word_encoder(tokenizer).encode, end_id.to_bytes(4, "little"), 4 * capacity
+        encoder, end, width = word_encoder(tokenizer), end_id.to_bytes(4, "little"), 4 * capacity
+        only_memo(encoder.memo)
         for batch in slices(batches, most=2 << 20):
             out: list[tuple] = []
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist()), strict=True):
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist()), strict=True):
                 data = ids + end
                 for k, at in enumerate(range(0, len(data), width)):
                     part = data[at : at + width]
@@ -177,6 +178,7 @@ def pack(docs: DataFrame, capacity: int = 4096, tokenizer: str = WORD_BPE, group
 
 def _filler(capacity: int, level: int, open_last: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def fill_bins(part: pd.DataFrame) -> pd.DataFrame:
+        only_memo()
         lengths = part["length"].to_numpy()
         bins = empty_bins(best_fit(lengths, capacity), lengths, capacity)
         fills = [int(lengths[items].sum()) for items in bins]

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siteledger.llm.common import doc_rows, packed, saved, slices, unpacked
+from siteledger.llm.common import doc_rows, only_memo, packed, saved, slices, unpacked
 from siteledger.llm.features import WordFeatures
 from siteledger.llm.linear import Sparse, fit_logistic, sigmoid
 
@@ -131,6 +131,7 @@ def score_quality(docs: DataFrame, threshold: float = 0.5, sample: int = SAMPLE)
     rows = doc_rows(docs).withColumn("dig", F.xxhash64("text"))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_memo(_features())
         for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("dig"), pa.array([labels(t.as_py()) for t in batch.column("text")], pa.string())], ["doc_id", "dig", "votes"])
 
@@ -142,6 +143,7 @@ def score_quality(docs: DataFrame, threshold: float = 0.5, sample: int = SAMPLE)
     posterior = dict(zip(patterns, _posterior(np.array([[int(v) for v in p] for p in patterns]), prior, accuracy).tolist(), strict=True))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_memo(_features())
         for batch in slices(batches):
             texts = [t.as_py() for t in batch.column("text")]
             found = [_columns(t) for t in texts]
@@ -153,6 +155,7 @@ def score_quality(docs: DataFrame, threshold: float = 0.5, sample: int = SAMPLE)
     weights, intercept = _train(train, posterior)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_memo(_features())
         for batch in slices(batches):
             out = []
             for t in batch.column("text"):

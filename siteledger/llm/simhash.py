@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siteledger.llm.common import components, doc_rows, packed, saved, slices, unpacked
+from siteledger.llm.common import components, doc_rows, only_memo, packed, saved, slices, unpacked
 
 SEED = 42
 #: Members of a bucket up to which they are compared pair by pair; larger buckets go through centres, with the same links.
@@ -101,6 +101,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataF
     """
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_memo()
         for batch in slices(batches):
             values = [_signed(fingerprint(t.as_py(), shingle)) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values, pa.int64())], ["doc_id", "fp"])

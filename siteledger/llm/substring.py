@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siteledger.llm.common import WordCodes, doc_rows, gram_hashes, packed, saved, slices, unpacked
+from siteledger.llm.common import WordCodes, doc_rows, gram_hashes, only_memo, packed, saved, slices, unpacked
 
 #: Multipliers of the rolling hashes of anchors and of what surrounds them.
 _BY, _AROUND = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
@@ -140,6 +140,7 @@ def repeated_windows(rows: DataFrame, window: int, automaton_pieces: int = AUTOM
     reach = window - gram
 
     def anchor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_memo()
         for batch in slices(batches):
             out = [[], [], [], [], []]
             for doc, dig, text in zip(batch.column("doc_id").to_pylist(), batch.column("dig").to_pylist(), batch.column("text"), strict=True):
@@ -162,6 +163,7 @@ def repeated_windows(rows: DataFrame, window: int, automaton_pieces: int = AUTOM
     lists = asked.groupBy("doc_id", "dig").agg(F.collect_set(F.struct("pos", "anchor", "pieces")).alias("places"))  # places of one document, once for all its rows
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_memo()
         for batch in slices(batches):
             out: list[tuple] = []
             for doc, dig, text, places in zip(batch.column("doc_id").to_pylist(), batch.column("dig").to_pylist(), batch.column("text"), batch.column("places").to_pylist(), strict=True):
@@ -178,6 +180,7 @@ def repeated_windows(rows: DataFrame, window: int, automaton_pieces: int = AUTOM
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows arrive sorted by anchor and document: each streams through what earlier documents put in."""
+        only_memo()
         now, automaton, waiting, owner, done = None, SuffixAutomaton(), [], None, None
         for batch in batches:
             out: list[tuple] = []
@@ -209,6 +212,7 @@ def repeated_windows(rows: DataFrame, window: int, automaton_pieces: int = AUTOM
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Windows of an anchor with too many surroundings for one automaton."""
+        only_memo()
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
             for doc, dig, pos, key, begin, data in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "dig", "pos", "anchor", "begin", "piece")), strict=True):
@@ -268,6 +272,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, automaton_pieces: int = AU
     found = repeated_windows(rows, window, automaton_pieces)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_memo()
         for batch in slices(batches):
             out: list[tuple] = []
             for doc, dig, value, starts in zip(batch.column("doc_id").to_pylist(), batch.column("dig").to_pylist(), batch.column("text"), batch.column("starts").to_pylist(), strict=True):

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siteledger.llm.common import doc_rows, slices
+from siteledger.llm.common import doc_rows, only_memo, slices
 from siteledger.llm.features import WordFeatures
 from siteledger.llm.linear import Sparse, fit_logistic, sigmoid
 
@@ -115,6 +115,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: Sequence[str], labelle
     texts = doc_rows(docs).join(F.broadcast(known), "doc_id")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_memo(_features())
         for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([_columns(t.as_py()) for t in batch.column("text")], pa.list_(pa.int32())), *[batch.column(c) for c in categories]], ["doc_id", "columns", *categories])
 
@@ -170,6 +171,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, categories: Sequence[str]
     chain = train(docs, labels, categories, labelled)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_memo()
         slots = _Slots(chain)
         for batch in slices(batches):
             z = np.array([slots.logits(t.as_py()) for t in batch.column("text")]).reshape(batch.num_rows, len(chain))

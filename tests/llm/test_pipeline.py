@@ -1,10 +1,14 @@
 import corpus_pipeline
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry_points
+from siteledger.llm import quality
 from siteledger.llm.common import read_table
 from siteledger.llm.mixing import mix
+from siteledger.llm.packing import token_pieces
 from siteledger.llm.quality import score_quality
+from siteledger.llm.tokens import WORD_BPE, word_encoder
 from tests.llm.helpers import awkward_documents, empty_documents, words
 from tests.llm.test_simhash import plain as fingerprint
 from tests.llm.test_substring import plain as without_repeats
@@ -62,3 +66,16 @@ def test_stages_on_awkward_rows(spark, make):
         docs = stage(spark, docs, "")
         assert docs.columns == make(spark).columns
     assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() >= 0
+
+
+def test_workers_keep_the_memo_of_one_operator(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").repartition(16)
+    score_quality(docs).count()
+    token_pieces(docs, 4096).count()
+
+    def held(batches):
+        sizes = len(quality._features()), len(word_encoder(WORD_BPE).memo)
+        yield from (pa.RecordBatch.from_arrays([pa.array([n], pa.int64()) for n in sizes], ["features", "words"]) for b in batches if b.num_rows)
+
+    found = spark.range(0, 64, 1, 64).mapInArrow(held, "features bigint, words bigint").collect()
+    assert any(r.words for r in found) and not any(r.features and r.words for r in found)
