@@ -226,7 +226,7 @@ def repeated_windows(rows: DataFrame, window: int, automaton_pieces: int = AUTOM
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else [], t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()), strict=True)], ["doc_id", "dig", "pos", "anchor", "place", "hash"])
 
     many = cuts.where(F.col("pieces") > automaton_pieces).select("doc_id", "dig", "pos", "anchor", "begin", "piece")
-    windows = many.mapInArrow(explode, _ROW + ", pos int, anchor bigint, place int, hash bigint")
+    windows = saved(many.mapInArrow(explode, _ROW + ", pos int, anchor bigint, place int, hash bigint"), "windows")  # read twice
     firsts = windows.groupBy("anchor", "hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
     late = windows.join(firsts, ["anchor", "hash"]).where("doc_id > first")
     late = late.groupBy("doc_id", "dig", "pos").agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("starts"))

@@ -122,3 +122,12 @@ def test_repeated_rows_cost_what_they_are(spark):
     by = {(r.doc_id, r.n_words): r for r in got}
     assert len(got) == len(docs) and len(by) == 4
     assert (by[5, 400].n_removed, by[9, 401].n_removed, by[5, 5].n_removed) == (400 - len(plain([docs[0], (5, text)], 50)[5][1]), 400, 0)
+
+
+def test_windows_compared_by_hash_are_made_once(spark, capsys):
+    passage = [f"p{i}" for i in range(8)]
+    texts = [(d, " ".join([f"a{d}", *passage, f"b{d}"])) for d in range(6)]
+    found = remove_repeats(spark.createDataFrame(texts, "doc_id bigint, text string"), 5, automaton_pieces=2)
+    found.explain()
+    assert "explode(" not in capsys.readouterr().out
+    assert sorted((r.doc_id, r.n_words, r.n_removed) for r in found.collect()) == [(d, 10, 8 if d else 0) for d in range(6)]
