@@ -111,6 +111,20 @@ def _anchors(codes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np
     return at, hashes[at], around[at]
 
 
+def _distinct(at: np.ndarray, hashes: np.ndarray, around: np.ndarray) -> tuple[list[int], list[np.ndarray | None]]:
+    """Which anchors to keep of one text, the first of those with equal surroundings, and the places of the others.
+
+    Where a text repeats a few words over and over, every repeat has the same anchor and surroundings.
+    """
+    pairs = list(zip(hashes.tolist(), around.tolist(), strict=True))
+    if len(set(pairs)) == len(pairs):
+        return list(range(len(pairs))), [None] * len(pairs)
+    equal: dict[tuple[int, int], list[int]] = {}
+    for i, pair in enumerate(pairs):
+        equal.setdefault(pair, []).append(i)
+    return [i[0] for i in equal.values()], [at[i[1:]].astype(np.int32) if len(i) > 1 else None for i in equal.values()]
+
+
 def _spread(least: np.ndarray, span: int, n: int) -> np.ndarray:
     """For each gram, the largest of the minima of the windows that hold it; it is an anchor if that is itself."""
     out = np.concatenate([np.zeros(span - 1, np.uint64), least, np.zeros(span - 1, np.uint64)])
@@ -134,7 +148,9 @@ def _words(text: str) -> list[bytes]:
 def repeated_windows(rows: DataFrame, window: int, automaton_pieces: int = AUTOMATON_PIECES) -> DataFrame:
     """(doc_id, dig, starts): where the windows start that a document with a smaller id also holds.
 
-    ``rows`` is (doc_id, dig, text), ``dig`` telling apart the texts of one id. See ``remove_repeats``.
+    ``rows`` is (doc_id, dig, text), ``dig`` telling apart the texts of one id. ``starts`` has the place
+    of an anchor, further places of the same anchor and surroundings, and the windows as bits, to be
+    read by ``_kept``. See ``remove_repeats``.
     """
     gram, span = _anchor_grams(window)
     reach = window - gram
@@ -142,14 +158,18 @@ def repeated_windows(rows: DataFrame, window: int, automaton_pieces: int = AUTOM
     def anchor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only_memo()
         for batch in slices(batches):
-            out = [[], [], [], [], []]
+            out, more = [[], [], [], [], []], []
             for doc, dig, text in zip(batch.column("doc_id").to_pylist(), batch.column("dig").to_pylist(), batch.column("text"), strict=True):
                 at, hashes, around = _anchors(_codes.of(_words(text.as_py())), window)
-                for column, values in zip(out, (np.full(len(at), doc), np.full(len(at), dig), at, hashes.view(np.int64), around.view(np.int64)), strict=True):
+                kept, others = _distinct(at, hashes, around)
+                more += others
+                for column, values in zip(out, (np.full(len(kept), doc), np.full(len(kept), dig), at[kept], hashes[kept].view(np.int64), around[kept].view(np.int64)), strict=True):
                     column.append(values)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else [], t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "dig", "pos", "anchor", "around"])
+            columns = [pa.array(np.concatenate(c) if c else [], t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()), strict=True)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(more, pa.list_(pa.int32()))], ["doc_id", "dig", "pos", "anchor", "around", "more"])
 
-    anchors = saved(rows.mapInArrow(anchor, _ROW + ", pos int, anchor bigint, around bigint"), "anchors")
+    # one row for all places of a text with equal surroundings
+    anchors = saved(rows.mapInArrow(anchor, _ROW + ", pos int, anchor bigint, around bigint, more array<int>"), "anchors")
     # pieces: an anchor with its surroundings; equal ones are one row per task before they move
     pieces = anchors.groupBy("anchor", "around").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     shared = pieces.groupBy("anchor").agg(F.count("*").alias("pieces"), F.min("first").alias("low"), F.max("last").alias("high")).where("low < high").select("anchor", "pieces")
@@ -157,9 +177,9 @@ def repeated_windows(rows: DataFrame, window: int, automaton_pieces: int = AUTOM
 
     held = anchors.join(known, ["anchor", "around"])
     # a document whose surroundings an earlier one has too repeats every window there
-    whole = held.where("doc_id > first").select("doc_id", "dig", "pos", F.lit((1 << span) - 1).cast("long").alias("starts"))
+    whole = held.where("doc_id > first").select("doc_id", "dig", "pos", "more", F.lit((1 << span) - 1).cast("long").alias("starts"))
     # the first of several surroundings of an anchor is searched for in those of earlier documents
-    asked = saved(held.where("doc_id = first AND pieces > 1").select("doc_id", "dig", "pos", "anchor", "pieces"), "contested")
+    asked = saved(held.where("doc_id = first AND pieces > 1").select("doc_id", "dig", "pos", "more", "anchor", "pieces"), "contested")
     lists = asked.groupBy("doc_id", "dig").agg(F.collect_set(F.struct("pos", "anchor", "pieces")).alias("places"))  # places of one document, once for all its rows
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,18 +251,27 @@ def repeated_windows(rows: DataFrame, window: int, automaton_pieces: int = AUTOM
     late = windows.join(firsts, ["anchor", "hash"]).where("doc_id > first")
     late = late.groupBy("doc_id", "dig", "pos").agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("starts"))
 
-    every = whole.unionByName(matched).unionByName(late)
-    return every.groupBy("doc_id", "dig").agg(F.collect_set(F.struct((F.col("pos") - reach).alias("pos"), "starts")).alias("starts"))  # of one document, once for all its rows
+    # what was found at the first place of a piece holds at its others
+    others = asked.where("more IS NOT NULL").select("doc_id", "dig", "pos", "more", F.lit(0).cast("long").alias("starts"))
+    every = whole.unionByName(others).unionByName(matched.unionByName(late).withColumn("more", F.lit(None).cast("array<int>")))
+    return every.groupBy("doc_id", "dig").agg(F.collect_set(F.struct("pos", "more", "starts")).alias("starts"))  # of one document, once for all its rows
 
 
 def _kept(words: list[bytes], starts: list[dict], window: int) -> list[bytes]:
+    gram, _ = _anchor_grams(window)
     gone = np.zeros(len(words) + 1, dtype=np.int64)
+    more = {s["pos"]: s["more"] for s in starts if s["more"]}
     for s in starts:
-        mask, at = s["starts"], s["pos"]
-        bits = [i for i in range(mask.bit_length()) if mask >> i & 1]
-        here = np.array([at + i for i in bits if 0 <= at + i <= len(words) - window], dtype=np.int64)
-        np.add.at(gone, here, 1)
-        np.add.at(gone, here + window, -1)
+        at, mask = np.array([s["pos"], *more.get(s["pos"], ())], dtype=np.int64) - (window - gram), s["starts"]
+        while mask:  # windows side by side, at all places of the piece
+            rest = mask & (mask + (mask & -mask))
+            run = mask ^ rest
+            begin = np.maximum(at + (run & -run).bit_length() - 1, 0)
+            end = np.minimum(at + run.bit_length() - 1, len(words) - window)
+            here = begin <= end
+            np.add.at(gone, begin[here], 1)
+            np.add.at(gone, end[here] + window, -1)
+            mask = rest
     cover = np.cumsum(gone[:-1])
     return [w for w, c in zip(words, cover.tolist(), strict=True) if not c]
 
@@ -257,8 +286,9 @@ def remove_repeats(docs: DataFrame, window: int = 50, automaton_pieces: int = AU
     Here the reference is the table itself, so its automata have no size bound and are not
     broadcast whole: they are made in shards by anchor. Every window's smallest half-window gram is an
     anchor, and equal windows share it, so all copies of a passage meet at its anchors. Where an
-    anchor's surroundings are equal, a hash tells; only different surroundings of one anchor are
-    sent on, each once, from its first document. In a shard they stream, in order of document, through
+    anchor's surroundings are equal, a hash tells, and they are one row for each document, however
+    often it repeats them; only different surroundings of one anchor are sent on, each once, from
+    its first document. In a shard they stream, in order of document, through
     a suffix automaton of what earlier documents brought: matching statistics of at least a
     window mark a repeat, and only what has something new is put in. An anchor with more than
     ``automaton_pieces`` different surroundings would grow too large for one task; its windows are

@@ -4,10 +4,11 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from siteledger.llm.common import gram_hashes, read_table
 from siteledger.llm.queries import QUERIES
-from siteledger.llm.substring import SuffixAutomaton, _anchors, _first_least, deduplicated, remove_repeats
+from siteledger.llm.substring import SuffixAutomaton, _anchors, _first_least, deduplicated, remove_repeats, repeated_windows
 from tests.llm.helpers import awkward_documents, empty_documents, words
 
 
@@ -131,3 +132,33 @@ def test_windows_compared_by_hash_are_made_once(spark, capsys):
     found.explain()
     assert "explode(" not in capsys.readouterr().out
     assert sorted((r.doc_id, r.n_words, r.n_removed) for r in found.collect()) == [(d, 10, 8 if d else 0) for d in range(6)]
+
+
+def test_a_text_that_repeats_itself_has_a_row_for_each_different_piece(spark):
+    """Four documents with two words 300 times over: what the join of pieces finds is not a row for every repeat."""
+    docs = [(d, " ".join([f"a{d}", *["is", "one"] * 300, f"b{d}"])) for d in range(4)]
+    rows = spark.createDataFrame(docs, "doc_id bigint, text string").withColumn("dig", F.xxhash64("text"))
+    found = {r.doc_id: r.starts for r in repeated_windows(rows, 50).collect()}
+    assert {1, 2, 3} <= set(found) and all(len(starts) < 60 for starts in found.values())
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in remove_repeats(rows.select("doc_id", "text")).collect()}
+    assert got == {d: (602, 600 if d else 0) for d in range(4)}
+
+
+@pytest.mark.parametrize(("window", "pieces"), [(10, 2000), (10, 0), (7, 3), (1, 2000), (50, 2000), (50, 0)])
+def test_texts_that_repeat_themselves(spark, window, pieces):
+    """Periods below and above a window, broken off, shifted and with a word altered, against all windows."""
+    draw, docs = random.Random(window), []
+    for d in range(60):
+        text = [f"a{draw.randrange(4)}"] * draw.randrange(3)
+        for _ in range(draw.randint(1, 3)):
+            period = [f"p{draw.choice((1, 2, 3, 8, 30, 60))}-{i}" for i in range(draw.choice((1, 2, 3, 8, 30, 60)))]
+            part = (period * 130)[draw.randrange(len(period)) :][: draw.randint(1, 130)]
+            if draw.random() < 0.5:
+                part[draw.randrange(len(part))] = f"x{draw.randrange(9999)}"
+            text += part + [f"y{draw.randrange(3)}"] * draw.randrange(2)
+        docs.append((d * 7 % 60, " ".join(text)))
+    expected = plain(docs, window)
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(7)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in remove_repeats(frame, window, pieces).collect()}
+    assert got == {d: (n, n - len(kept), digest(kept)) for d, (n, kept) in expected.items()}
+    assert any(0 < len(kept) < n for n, kept in expected.values())
